@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _scored(docs: DataFrame, score, held_out) -> DataFrame:
-    out = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    out = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
