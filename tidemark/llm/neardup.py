@@ -75,16 +75,18 @@ def signatures(docs: DataFrame, *, shingle: int, m: int, t: int, seed: int = 11)
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, shingles: the sorted 64-bit hashes of the whole set, as bytes."""
+    """doc_id, shingles: the sorted 64-bit hashes of the whole set."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in blocks(batch.column(1)):
                 sh, first = _shingles(buf, offsets, shingle)
-                own = [np.unique(sh[first[i] : first[i + 1]]).tobytes() for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], ["doc_id", "shingles"])
+                own = [np.unique(sh[first[i] : first[i + 1]]) for i in range(hi - lo)]
+                ends = np.cumsum([0, *map(len, own)], dtype=np.int32)
+                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), column], ["doc_id", "shingles"])
 
-    return id_text(docs).mapInArrow(sets, "doc_id long, shingles binary")
+    return id_text(docs).mapInArrow(sets, "doc_id long, shingles array<long>")
 
 
 def _alike(one: Column, other: Column, percent: int) -> Column:
@@ -92,7 +94,7 @@ def _alike(one: Column, other: Column, percent: int) -> Column:
     def alike(a: pa.Array, b: pa.Array) -> pa.Array:
         out = np.zeros(len(a), bool)
         for i in range(len(a)):
-            x, y = np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64)
+            x, y = a[i].values.to_numpy(zero_copy_only=False).view(np.uint64), b[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
             at = np.searchsorted(y, x)
             both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
             out[i] = 100 * both >= percent * (len(x) + len(y) - both)
@@ -101,9 +103,10 @@ def _alike(one: Column, other: Column, percent: int) -> Column:
     return alike(one, other)
 
 
-def _near_in_size(n1: str, n2: str, percent: int) -> Column:
-    """Necessary for the link: the smaller set has at least `percent` of the larger one's size."""
-    return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
+def _may_link(n1: str, own1: str, n2: str, own2: str, percent: int) -> Column:
+    """Necessary for the link: shingles that no other set has can't be shared, which bounds the intersection."""
+    most = F.least(F.col(n1) - F.col(own1), F.col(n2) - F.col(own2))
+    return most * 100 >= (F.col(n1) + F.col(n2) - most) * percent
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -117,10 +120,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
 
     Sets: distinct runs of `shingle` words (`[^\\x20\\x09-\\x0D]+`, A-Z folded); a shorter text is one run. Link:
     100 * intersection >= percent * union. Texts of one set are a class and link without a look at
-    their number; class representatives go into the tables. In each table bucket the smallest
-    member is compared with all others first; buckets that then still hold several components
-    compare further members, more each round, with those of other components, until every pair of the
-    bucket is either joined or tried. No bucket is capped and no bucket's pairs are listed at once.
+    their number; class representatives go into the tables. Shingles that no other set in the tables
+    has bound a set's intersections, so sets with many of them can link with nobody and leave. In
+    each table bucket the member with the least share of such shingles is compared with all others first; buckets that
+    then still hold several components compare further members, more each round, with those of
+    other components, until every pair of the bucket is joined, tried or excluded by its bound. No
+    bucket is capped.
 
     Null, empty and blank texts: n_shingles 0, linked with nothing, kept. A null doc_id: component_id
     null, kept. Rows that share a doc_id are one document; each gets a row. No rows: no rows.
@@ -135,32 +140,39 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     busy = half.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     alive = half.join(busy, "key", "left_semi").select("rep").distinct()
     pairs_of = F.flatten(F.transform("left", lambda x: F.transform(F.col("right"), lambda y: F.xxhash64(x, y))))
-    keyed = staged(reps.join(alive, "rep").select("rep", "n", F.explode(pairs_of).alias("key")), "tables")
-
-    lead = keyed.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("l"), F.count("*").alias("size")).filter("size > 1")
-    shared = staged(keyed.join(lead, "key"), "buckets")
-    pairs = shared.filter("rep <> l.rep").filter(_near_in_size("n", "l.n", percent)).select(F.col("l.rep").alias("u"), F.col("rep").alias("v")).distinct()
-
-    wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
-    sets = staged(shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), shingle).dropDuplicates(["doc_id", "shingles"]), "sets")
-    comp = components(_confirmed(pairs, sets, percent))
-    comp = staged(comp, "components")
+    keyed = staged(reps.join(alive, "rep").select("rep", F.explode(pairs_of).alias("key")), "tables")
+
+    busy = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    wanted = keyed.join(busy, "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    sets = shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), shingle)
+    sets = staged(sets.dropDuplicates(["doc_id", "shingles"]), "sets")
+    owner = sets.select("doc_id", F.explode("shingles").alias("x")).groupBy("x").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"))
+    own = owner.filter("c = 1").groupBy("rep").agg(F.count("*").alias("own"))
+    able = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").cast("long").alias("n")).join(own, "rep", "left").fillna(0, ["own"])
+    able = staged(able.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent).select("rep", "n", "own", F.struct((F.col("own") / F.col("n")).alias("share"), "rep").alias("order")), "able")
+
+    first = F.min(F.struct("order", "rep", "n", "own")).alias("l")
+    shared = keyed.select("key", "rep").join(able, "rep")
+    shared = staged(shared.join(shared.groupBy("key").agg(first, F.count("*").alias("size")).filter("size > 1"), "key"), "buckets")
+    pairs = shared.filter("rep <> l.rep").filter(_may_link("n", "own", "l.n", "l.own", percent))
+    pairs = pairs.select(F.least("l.rep", "rep").alias("u"), F.greatest("l.rep", "rep").alias("v")).distinct()
+    comp = staged(components(_confirmed(pairs, sets, percent)), "components")
 
     lo, hi = 2, 8
     while True:
-        member = shared.filter(F.col("size") > lo).select("key", "rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+        member = shared.filter(F.col("size") >= lo).select("key", "rep", "n", "own", "order").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
         member = member.withColumn("component", F.coalesce("component", "rep"))
-        mixed = member.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("key")
-        member = staged(member.join(mixed, "key", "left_semi"), "unresolved")
-        most = member.groupBy("key").count().agg(F.max("count")).first()[0]
+        mixed = member.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).filter("c0 <> c1")
+        member = staged(member.join(mixed.select("key", "size"), "key"), "unresolved")
+        most = member.agg(F.max("size")).first()[0]
         if most is None or lo >= most:
             break
-        by_salt = Window.partitionBy("key", "salt").orderBy("rep")
+        by_salt = Window.partitionBy("key", "salt").orderBy("order")
         ranked = member.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))).withColumn("place", F.row_number().over(by_salt)).filter(F.col("place") <= hi)
-        leader = ranked.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("rep"))).filter(F.col("place").between(lo, hi))
-        leader = leader.select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-        more = member.join(leader, "key").filter("rep > u and component <> cu").filter(_near_in_size("n", "nu", percent))
-        more = more.select("u", F.col("rep").alias("v")).distinct()
+        leader = ranked.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("order"))).filter(F.col("place").between(lo, hi))
+        leader = leader.select("key", *[F.col(c).alias(f"{c}_") for c in ("rep", "n", "own", "order", "component")])
+        more = member.join(leader, (member["key"] == leader["key"]) & (F.col("order") > F.col("order_")) & (F.col("component") != F.col("component_")) & _may_link("n", "own", "n_", "own_", percent))
+        more = more.select(F.least("rep", "rep_").alias("u"), F.greatest("rep", "rep_").alias("v")).distinct()
         found = staged(_confirmed(more, sets, percent), "links")
         if not found.isEmpty():
             comp = staged(components(found.unionByName(comp.select(F.col("component").alias("u"), F.col("node").alias("v")))), "components")
