@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, neardup, quality, tokencount, toxicity
+from tidemark.llm import decontam, licenses, mixing, neardup, neighbours, quality, secrets, substrings, tokencount, toxicity
 from tidemark.llm.common import read_table
 from tidemark.llm.labelled import fold
 from tidemark.llm.sql import ORACLES
@@ -40,15 +40,57 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_spans(read_table(spark, sf_dir, "documents"), window=20).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.train_toxicity(docs, labels.filter(fold("doc_id", 5) != 0))
     return _scored(docs, toxicity.toxicity_score(model, F.col("text")), fold("doc_id", 5) == 0)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_contamination(docs, read_table(spark, sf_dir, "benchmark"), window=10).select("doc_id", "contamination.*")
+    n_hit = decontam.covered("hits")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_quality_classifier, op2_token_counts, op3_license_scan, op4_minhash_near_dedup, op8_toxicity)
+    for f in (
+        op1_quality_classifier,
+        op2_token_counts,
+        op3_license_scan,
+        op4_minhash_near_dedup,
+        op5_nearest_neighbours,
+        op6_substring_dedup,
+        op7_secret_scan,
+        op8_toxicity,
+        op9_decontamination,
+        op10_source_mixing,
+    )
 }
 
 

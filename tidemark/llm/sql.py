@@ -11,7 +11,7 @@ with recursive w as (
 ), s as (
   select distinct doc_id, shingle from (
     select doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
-      else list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i+4], ' ')) end) as shingle from w)
+      else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) end) as shingle from w)
 ), n as (
   select doc_id, count(*) as n from s group by doc_id
 ), common as (
@@ -29,4 +29,87 @@ select w.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id, w.doc_id = c.co
 from w left join n using (doc_id) join component c using (doc_id)
 """
 
-ORACLES = {"op4_minhash_near_dedup": NEAR_DUPLICATES}
+SUBSTRINGS = f"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), {_BLANK_WORDS}) as ws from documents
+), win as (
+  select doc_id, unnest(range(1, len(ws) - 18)) as p, ws from w where len(ws) >= 20
+), seq as (
+  select doc_id, p, row_number() over (partition by array_to_string(ws[p:p+19], ' ') order by doc_id, p) > 1 as again from win
+), gone as (
+  select distinct doc_id, unnest(range(p, p + 20)) as i from seq where again
+), word as (
+  select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i from w
+), kept as (
+  select word.doc_id, string_agg(word, ' ' order by i) as text, count(*) as n from word left join gone using (doc_id, i) where gone.i is null group by 1
+)
+select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(kept.n, 0))::bigint as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from w left join kept using (doc_id)
+"""
+
+_ALNUM_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+DECONTAMINATION = f"""
+with d as (
+  select doc_id, regexp_extract_all({_FOLD}, {_ALNUM_WORDS}) as ws from documents
+), b as (
+  select item_id, regexp_extract_all({_FOLD}, {_ALNUM_WORDS}) as ws from benchmark where text is not null and item_id is not null
+), item as (
+  select distinct item_id, size, array_to_string(ws[p:p+size-1], ' ') as words from (
+    select item_id, ws, least(10, len(ws)) as size, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) as p from b where len(ws) > 0)
+), place as (
+  select doc_id, size, p, array_to_string(ws[p:p+size-1], ' ') as words from (
+    select doc_id, size, ws, unnest(range(1, len(ws) - size + 2)) as p from d, (select distinct size from item) where len(ws) >= size)
+), hit as (
+  select doc_id, p, place.size, item_id from place join item on item.words = place.words and item.size = place.size
+), covered as (
+  select doc_id, count(distinct i) as n from (select doc_id, unnest(range(p, p + size)) as i from hit) group by 1
+), items as (
+  select doc_id, count(*) as n, string_agg(id, ',' order by id) as ids from (select distinct doc_id, item_id::varchar as id from hit) group by 1
+)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(c.n, 0)::bigint as n_hit, coalesce(i.n, 0)::bigint as n_items,
+  sha256(coalesce(i.ids, '')) as items_sha256, coalesce(c.n, 0) > 0 as contaminated
+from d left join covered c using (doc_id) left join items i using (doc_id)
+"""
+
+
+def _secrets() -> str:
+    """Spans of each rule from what lies between its matches, as SQL has no places of matches."""
+    from tidemark.llm.secrets import BASE, RULES
+
+    parts = []
+    for number, r in enumerate(RULES):
+        regex = r.pattern.replace("'", "''")
+        flags = "'i'" if r.fold else "''"
+        split = f"string_split_regex(t, '{regex}', 'i')" if r.fold else f"string_split_regex(t, '{regex}')"
+        parts.append(
+            f"select doc_id, {number} as kind_no, '{r.kind}' as kind, regexp_extract_all(t, '{regex}', 0, {flags}) as m, "
+            f"regexp_extract_all(t, '{regex}', {r.group}, {flags}) as g, {split} as gap, {r.least} as least from d"
+        )
+    base = ", ".join(f"'{k}'" for k in BASE)
+    counts = ", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in BASE)
+    named = "kind || ':' || a || ':' || z"
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+found as ({" union all ".join(parts)}),
+span as (
+  select doc_id, kind_no, kind, least, len(g[i]) as size,
+    list_sum(list_transform(gap[1:i], lambda x: len(x)))::bigint + coalesce(list_sum(list_transform(m[1:i-1], lambda x: len(x))), 0)::bigint as a, len(m[i]) as n
+  from (select *, unnest(range(1, len(m) + 1)) as i from found where len(m) > 0)
+), kept as (
+  select doc_id, kind_no, kind, a, a + n as z from span where size >= least
+), agg as (
+  select doc_id, {counts}, string_agg({named}, ',' order by a, kind_no) filter (kind in ({base})) as base, string_agg({named}, ',' order by a, kind_no) as spans
+  from kept group by doc_id
+)
+select d.doc_id, {", ".join(f"coalesce(n_{k}, 0)::bigint as n_{k}" for k in BASE)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join agg using (doc_id)
+"""
+
+
+ORACLES = {
+    "op4_minhash_near_dedup": NEAR_DUPLICATES,
+    "op6_substring_dedup": SUBSTRINGS,
+    "op7_secret_scan": _secrets(),
+    "op9_decontamination": DECONTAMINATION,
+}
