@@ -115,6 +115,26 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").filter(_alike(F.col("su"), F.col("sv"), percent)).select("u", "v")
 
 
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """rep, token, place: of each set the rarest shingles that a link must share one of, and how many rarer ones stand before.
+
+    Two sets in link share a token of both prefixes; before the first one they share neither has any of the
+    other's, so what stands before it in either is missing from the intersection.
+    """
+    rows = sets.select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    often = rows.groupBy("token").agg(F.count("*").alias("c"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("c", "token")) - 1
+    rows = rows.join(often, "token").withColumn("place", place)
+    return rows.filter((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100)) & (F.col("c") > 1)).select("rep", "token", "place")
+
+
+def _leaders(member: DataFrame, lo: int, hi: int) -> DataFrame:
+    """The lo-th to hi-th member of each token's group; large groups are ranked in salted parts first."""
+    by_salt = Window.partitionBy("token", "salt").orderBy("order")
+    top = member.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))).withColumn("nth", F.row_number().over(by_salt)).filter(F.col("nth") <= hi)
+    return top.withColumn("nth", F.row_number().over(Window.partitionBy("token").orderBy("order"))).filter(F.col("nth").between(lo, hi))
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m: int = 8, t: int = 2) -> DataFrame:
     """Connected components of texts whose shingle sets are alike: doc_id, n_shingles, component_id, kept.
 
@@ -122,10 +142,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     100 * intersection >= percent * union. Texts of one set are a class and link without a look at
     their number; class representatives go into the tables. Shingles that no other set in the tables
     has bound a set's intersections, so sets with many of them can link with nobody and leave. In
-    each table bucket the member with the least share of such shingles is compared with all others first; buckets that
-    then still hold several components compare further members, more each round, with those of
-    other components, until every pair of the bucket is joined, tried or excluded by its bound. No
-    bucket is capped.
+    each table bucket the member with the least share of such shingles is compared with all others.
+    Members of buckets that then still hold several components meet once more by their rarest
+    shingles, one of which any link shares: each group's first members, more each round, are compared
+    with those of other components, until every pair is joined, tried or excluded by the places of
+    what it shares. No bucket or group is capped.
 
     Null, empty and blank texts: n_shingles 0, linked with nothing, kept. A null doc_id: component_id
     null, kept. Rows that share a doc_id are one document; each gets a row. No rows: no rows.
@@ -158,20 +179,26 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     pairs = pairs.select(F.least("l.rep", "rep").alias("u"), F.greatest("l.rep", "rep").alias("v")).distinct()
     comp = staged(components(_confirmed(pairs, sets, percent)), "components")
 
-    lo, hi = 2, 8
+    # who shares a bucket with another component: once more, by the tokens that a link must share
+    own_component = able.select("rep", "n", "order").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = shared.select("key", "rep").join(own_component, "rep").groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
+    open_reps = shared.select("key", "rep").join(mixed.select("key"), "key", "left_semi").select("rep").distinct()
+    prefix = staged(_prefixes(sets.withColumnRenamed("doc_id", "rep").join(open_reps, "rep"), percent).join(able.select("rep", "n", "order"), "rep"), "prefixes")
+    lo, hi = 1, 8
     while True:
-        member = shared.filter(F.col("size") >= lo).select("key", "rep", "n", "own", "order").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-        member = member.withColumn("component", F.coalesce("component", "rep"))
-        mixed = member.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).filter("c0 <> c1")
-        member = staged(member.join(mixed.select("key", "size"), "key"), "unresolved")
-        most = member.agg(F.max("size")).first()[0]
+        member = prefix.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        mixed = member.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).filter("c0 <> c1")
+        member = staged(member.join(mixed.select("token", "size"), "token"), "unresolved")
+        most, rows, squares = member.agg(F.max("size"), F.count("*"), F.sum("size")).first()
         if most is None or lo >= most:
             break
-        by_salt = Window.partitionBy("key", "salt").orderBy("order")
-        ranked = member.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))).withColumn("place", F.row_number().over(by_salt)).filter(F.col("place") <= hi)
-        leader = ranked.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("order"))).filter(F.col("place").between(lo, hi))
-        leader = leader.select("key", *[F.col(c).alias(f"{c}_") for c in ("rep", "n", "own", "order", "component")])
-        more = member.join(leader, (member["key"] == leader["key"]) & (F.col("order") > F.col("order_")) & (F.col("component") != F.col("component_")) & _may_link("n", "own", "n_", "own_", percent))
+        if squares <= 64 * rows:  # groups are small: the rest at once
+            hi = most
+        leader = _leaders(member, lo, hi).select("token", *[F.col(c).alias(f"{c}_") for c in ("rep", "n", "place", "order", "component")])
+        left, left_ = F.col("n") - F.col("place"), F.col("n_") - F.col("place_")
+        bound = F.least(left, left_)
+        may = bound * 100 >= (F.col("n") + F.col("n_") - bound) * percent
+        more = member.join(leader, (member["token"] == leader["token"]) & (F.col("order") > F.col("order_")) & (F.col("component") != F.col("component_")) & may)
         more = more.select(F.least("rep", "rep_").alias("u"), F.greatest("rep", "rep_").alias("v")).distinct()
         found = staged(_confirmed(more, sets, percent), "links")
         if not found.isEmpty():
