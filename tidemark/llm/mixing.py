@@ -17,7 +17,7 @@ from tidemark.llm.common import staged
 
 STEPS = 5  # Newton steps between two staged states
 PHASES = 32  # ways to round a source's rates, of which the one nearest its target is taken
-CELL = 4096  # documents of one source and size that are ranked together
+CELL = 256  # documents of one source and size that are ranked together
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
