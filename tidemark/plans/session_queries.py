@@ -196,7 +196,8 @@ def location_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.location_fragments(ad.sessions(spark, sf_dir), _places(spark, sf_dir))
 
 
-_HAVERSINE = "12745.6 * asin(sqrt(least(1.0, pow(sin(radians({c} - {a}) / 2), 2) + pow(sin(radians({d} - {b}) / 2), 2) * cos(radians({a})) * cos(radians({c})))))"
+_HALF_CHORD = "pow(sin(radians({c} - {a}) / 2), 2) + pow(sin(radians({d} - {b}) / 2), 2) * cos(radians({a})) * cos(radians({c}))"
+_HAVERSINE = f"12745.6 * asin(sqrt(case when {_HALF_CHORD} > 1 then 1.0 else {_HALF_CHORD} end))"
 
 
 @query(
