@@ -11,7 +11,7 @@ def fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(folds)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, *, most: dict[int, int], longest: int = 1 << 16) -> dict[int, tuple[list[bytes], int]]:
+def sample(docs: DataFrame, labels: DataFrame, label: str, *, most: dict[int, int], longest: int = 1 << 14) -> dict[int, tuple[list[bytes], int]]:
     """For each class: whole texts of at most most[class] labelled documents, and how many rows carry the class.
 
     The sample is bounded by parameters: `most` rows a class, texts of at most

@@ -55,14 +55,16 @@ def _rate(most: float) -> Column:
     return F.when(F.col("full"), F.lit(most)).otherwise(tilted)
 
 
+_STATE = ("s", "mean", "full", "target", "multiplier", "lo", "hi")
+
+
 def _newton(cells: DataFrame, state: DataFrame, most: float) -> DataFrame:
-    """One step for every source; lo and hi bracket the multiplier."""
+    """One step for every source; lo and hi bracket the multiplier. A state is read once, so steps chain in a line."""
     w = _rate(most)
     mass = F.col("n") * F.col("size")
-    parts = cells.join(state, F.col("source").eqNullSafe(F.col("s"))).groupBy("s").agg(
+    both = cells.join(state.select(*_STATE), F.col("source").eqNullSafe(F.col("s"))).groupBy(*_STATE).agg(
         F.sum(mass * w).alias("words"), F.sum(mass * F.col("size") / F.col("mean") * w * (1 - w / most)).alias("slope")
     )
-    both = state.join(parts.withColumnRenamed("s", "p"), F.col("s").eqNullSafe(F.col("p"))).drop("p")
     off = F.col("words") - F.col("target")
     lo = F.when(off < 0, F.col("multiplier")).otherwise(F.col("lo"))
     hi = F.when(off > 0, F.col("multiplier")).otherwise(F.col("hi"))

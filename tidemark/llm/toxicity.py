@@ -63,12 +63,15 @@ def averages(texts: list[bytes], value: np.ndarray) -> np.ndarray:
     return total / np.maximum(count, 1)
 
 
-def _bags(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _bags(texts: list[bytes], together: int = 64) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of each text and their shares. Texts share large arrays, which go back to the system when freed."""
     bags = []
-    for t in texts:
-        bucket = np.concatenate([b for b, _ in grams([t])]) if t else np.zeros(0, np.uint32)
-        ids, n = np.unique(bucket, return_counts=True)
-        bags.append((ids.astype(np.int64), (n / max(1, n.sum())).astype(np.float32)))
+    for lo in range(0, len(texts), together):
+        own = [np.unique(np.concatenate([b for b, _ in grams([t])]), return_counts=True) for t in texts[lo : lo + together]]
+        ids = np.concatenate([i for i, _ in own]).astype(np.int32)
+        share = np.concatenate([n / max(1, n.sum()) for _, n in own]).astype(np.float32)
+        ends = np.cumsum([0, *[len(i) for i, _ in own]])
+        bags += [(ids[a:b], share[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
     return bags
 
 
