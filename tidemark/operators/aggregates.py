@@ -67,25 +67,34 @@ def all_levels(events: DataFrame, aggregator: Aggregator, *, additive: bool, buc
     return reduce(DataFrame.unionByName, coarser, daily)
 
 
-def metrics(events: DataFrame, g: Granularity, spec: MetricSpec) -> DataFrame:
-    """All metrics of a spec at one granularity, with a column `metric`.
+def metrics(events: DataFrame, levels: Granularity | tuple[Granularity, ...], spec: MetricSpec) -> DataFrame:
+    """All metrics of a spec at one or more granularities, with a column `metric`.
 
-    One shuffle by user, bucket and key gives counts and sums; distinct keys count its groups.
+    One scan cuts each event for all levels; one shuffle by user, level, bucket and key gives counts and sums; distinct keys
+    count its groups.
     """
-    by_key = fragments(events, g).groupBy("userId", "bucket", "key").agg(F.count("*").alias("c"), F.sum("value").alias("s"))
+    levels = (levels,) if isinstance(levels, Granularity) else levels
+    level = F.explode(F.array(*[F.struct(F.lit(g.code).cast("long").alias("code"), F.lit(g.millis).cast("long").alias("millis")) for g in levels]))
+    t, d, size = F.col("time"), F.col("duration"), F.col("level.millis")
+    first, last = t - t % size, (t + d) - (t + d) % size
+    starts = F.when(d < 0, F.array(first)).otherwise(F.sequence(first, F.greatest(first, last), size))
+    cut = events.withColumn("level", level).withColumn("bucket", F.explode(starts))
+    piece = F.when(d < 0, d).otherwise(F.least(t + d, F.col("bucket") + size) - F.greatest(t, F.col("bucket")))
+    value = F.when(F.col("splits"), piece).otherwise(F.col("value"))
+    cut = cut.select("userId", F.col("bucket").alias("time"), F.col("level.code").alias("granularity"), "key", value.alias("value"))
+    by_key = cut.groupBy(*ENTRY[:4]).agg(F.count("*").alias("c"), F.sum("value").alias("s"))
     named = [(name, column) for name, column in ((spec.count, "c"), (spec.total, "s")) if name]
     pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("metric"), F.col(column).cast("long").alias("value")) for name, column in named]))
-    code = F.lit(g.code).cast("long").alias("granularity")
-    out = by_key.select("userId", F.col("bucket").alias("time"), code, "key", pairs.alias("m")).select(*ENTRY[:4], "m.value", "m.metric")
+    out = by_key.select(*ENTRY[:4], pairs.alias("m")).select(*ENTRY[:4], "m.value", "m.metric")
     if spec.distinct:
-        keys = by_key.groupBy("userId", "bucket").agg(F.count("key").alias("value"))
-        out = out.unionByName(keys.select("userId", F.col("bucket").alias("time"), code, F.lit("key").alias("key"), "value", F.lit(spec.distinct).alias("metric")))
+        keys = by_key.groupBy(*ENTRY[:3]).agg(F.count("key").alias("value"))
+        out = out.unionByName(keys.select(*ENTRY[:3], F.lit("key").alias("key"), "value", F.lit(spec.distinct).alias("metric")))
     return out
 
 
 def suite(tables: dict[str, DataFrame], specs: tuple[MetricSpec, ...], levels: tuple[Granularity, ...]) -> DataFrame:
-    """The metrics of all specs whose table is given, at all levels, straight from the events."""
-    parts = [metrics(events_kv(tables[s.event], s), g, s) for s in specs if s.event in tables for g in levels]
+    """The metrics of all specs whose table is given, at all levels, straight from the events; each table is read once."""
+    parts = [metrics(events_kv(tables[s.event], s), levels, s) for s in specs if s.event in tables]
     return reduce(DataFrame.unionByName, parts)
 
 
