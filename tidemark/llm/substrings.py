@@ -221,7 +221,7 @@ _NO_TEXTS = pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([]
 _DDL = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<first: long, past: long>>"
 
 
-def repeated_spans(docs: DataFrame, *, window: int = 20, chunk_bytes: int = 8 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, window: int = 20, chunk_bytes: int = 4 << 20) -> DataFrame:
     """What exact repeats of `window` words cover: doc_id, n_words, n_removed, kept_sha256, removed (word spans).
 
     A word (`[^\\x20\\x09-\\x0D]+`) goes if a window over it has a word sequence that also starts earlier: in a
