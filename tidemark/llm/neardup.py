@@ -22,8 +22,6 @@ from tidemark.llm.bytewords import BLANK_SPLIT_FOLDED, U64, mix, whole, windows,
 from tidemark.llm.common import blocks, id_text, staged
 from tidemark.llm.graph import components
 
-SALTS = 16
-
 
 def _shingles(buf: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of a block of texts (with repeats), and where each text's begin."""
@@ -128,13 +126,6 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return rows.filter((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100)) & (F.col("c") > 1)).select("rep", "token", "place")
 
 
-def _leaders(member: DataFrame, lo: int, hi: int) -> DataFrame:
-    """The lo-th to hi-th member of each token's group; large groups are ranked in salted parts first."""
-    by_salt = Window.partitionBy("token", "salt").orderBy("order")
-    top = member.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))).withColumn("nth", F.row_number().over(by_salt)).filter(F.col("nth") <= hi)
-    return top.withColumn("nth", F.row_number().over(Window.partitionBy("token").orderBy("order"))).filter(F.col("nth").between(lo, hi))
-
-
 def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m: int = 8, t: int = 2) -> DataFrame:
     """Connected components of texts whose shingle sets are alike: doc_id, n_shingles, component_id, kept.
 
@@ -144,7 +135,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     has bound a set's intersections, so sets with many of them can link with nobody and leave. In
     each table bucket the member with the least share of such shingles is compared with all others.
     Members of buckets that then still hold several components meet once more by their rarest
-    shingles, one of which any link shares: each group's first members, more each round, are compared
+    shingles, one of which any link shares: some members of each group, more each round, are compared
     with those of other components, until every pair is joined, tried or excluded by the places of
     what it shares. No bucket or group is capped.
 
@@ -180,11 +171,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     comp = staged(components(_confirmed(pairs, sets, percent)), "components")
 
     # who shares a bucket with another component: once more, by the tokens that a link must share
-    own_component = able.select("rep", "n", "order").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    own_component = able.select("rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = shared.select("key", "rep").join(own_component, "rep").groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
     open_reps = shared.select("key", "rep").join(mixed.select("key"), "key", "left_semi").select("rep").distinct()
-    prefix = staged(_prefixes(sets.withColumnRenamed("doc_id", "rep").join(open_reps, "rep"), percent).join(able.select("rep", "n", "order"), "rep"), "prefixes")
-    lo, hi = 1, 8
+    # members of a group take the lead in the order of a hash, so no group is ranked; `turn` runs from 0 to the group's size
+    shown = F.pmod(F.xxhash64(F.lit("turn"), "rep"), F.lit(1 << 30)) / F.lit(1 << 30)
+    prefix = _prefixes(sets.withColumnRenamed("doc_id", "rep").join(open_reps, "rep"), percent).join(able.select("rep", "n"), "rep")
+    prefix = staged(prefix.withColumn("order", F.struct(shown.alias("u"), "rep")), "prefixes")
+    lo, hi = 0, 8
     while True:
         member = prefix.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         mixed = member.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).filter("c0 <> c1")
@@ -194,7 +188,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
             break
         if squares <= 64 * rows:  # groups are small: the rest at once
             hi = most
-        leader = _leaders(member, lo, hi).select("token", *[F.col(c).alias(f"{c}_") for c in ("rep", "n", "place", "order", "component")])
+        turn = F.col("order.u") * F.col("size")
+        leader = member.filter((turn >= lo) & (turn < hi)).select("token", *[F.col(c).alias(f"{c}_") for c in ("rep", "n", "place", "order", "component")])
         left, left_ = F.col("n") - F.col("place"), F.col("n_") - F.col("place_")
         bound = F.least(left, left_)
         may = bound * 100 >= (F.col("n") + F.col("n_") - bound) * percent
@@ -203,7 +198,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
         found = staged(_confirmed(more, sets, percent), "links")
         if not found.isEmpty():
             comp = staged(components(found.unionByName(comp.select(F.col("component").alias("u"), F.col("node").alias("v")))), "components")
-        lo, hi = hi + 1, hi * 8
+        lo, hi = hi, hi * 8
 
     of = reps.select("digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     of = of.select("digest", F.coalesce("component", "rep").alias("component_id"))
