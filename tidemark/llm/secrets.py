@@ -61,7 +61,8 @@ def _least(q: Query) -> Query:
 
 
 def _of_strings(strings: set[str]) -> Query:
-    return _least(frozenset(frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in strings))
+    """For each string trigrams side by side over its whole length; those between them would add little."""
+    return _least(frozenset(frozenset(s[i : i + 3] for i in [*range(0, len(s) - 2, 3), len(s) - 3] if i >= 0) for s in strings))
 
 
 def _exact(item) -> set[str] | None:
@@ -104,6 +105,9 @@ def _query(items) -> Query:
     out, run = ANY, {""}
     for op, arg in items:
         own = _exact((op, arg))
+        if own is not None and "" in own:  # what may be missing ends the run
+            own = {""}
+            out, run = _all(out, _of_strings(run)), {""}
         if own is not None and len(run) * len(own) <= _MOST:
             run = {a + b for a in run for b in own}
             continue
