@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, mixing, neardup, secrets, toxicity
 from tidemark.llm.common import read_table, staged
+from tidemark.session import ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -42,12 +43,22 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs)
 
 
+def _shipped(stage: Stage) -> Stage:
+    """The stage, once the executors have this package."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("near_duplicates", drop_near_duplicates),
-    ("decontamination", drop_contaminated),
-    ("secrets", redact_secrets),
-    ("mixing", mix),
+    ("toxicity", _shipped(drop_toxic)),
+    ("near_duplicates", _shipped(drop_near_duplicates)),
+    ("decontamination", _shipped(drop_contaminated)),
+    ("secrets", _shipped(redact_secrets)),
+    ("mixing", _shipped(mix)),
 ]
 
 #: A trained classifier decides the first stage, which SQL cannot express.
