@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,27 @@ SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
+#: White space as the splitting rule means it; fixed value.
+_BLANK = "[\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+LONG = 100_000  # blanks in a row that the splitter can't take at once
+
+
+def count_tokens(encoding, text: str, long: int = LONG) -> int:
+    """Tokens of a text. Very long runs of blanks are cut where the splitting rule cuts them, as the splitter's stack is bounded.
+
+    The rule takes a run up to its last blank, which goes on with the next word; at the text's end it takes all.
+    """
+    if len(text) < long:
+        return len(encoding.encode_ordinary(text))
+    n, at = 0, 0
+    for m in re.finditer(f"{_BLANK}{{{long},}}", text):
+        a, b = m.span()
+        b -= b < len(text)
+        n += len(encoding.encode_ordinary(text[at:a])) + len(encoding._encode_single_piece(text[a:b]))
+        at = b
+    return n + len(encoding.encode_ordinary(text[at:]))
+
+
 def token_length(text: Column, vocabulary: bytes) -> Column:
     """Tokens of whole texts under a byte-pair vocabulary (lines of base64 and rank); null counts as empty.
 
@@ -29,7 +51,7 @@ def token_length(text: Column, vocabulary: bytes) -> Column:
         if not kept:
             ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in vocabulary.splitlines() if x)}
             kept.append(tiktoken.Encoding("histogram", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}))
-        return pa.array([len(kept[0].encode_ordinary(t.as_py() or "")) for t in texts], pa.int64())
+        return pa.array([count_tokens(kept[0], t.as_py() or "") for t in texts], pa.int64())
 
     return count(F.coalesce(text.cast("string"), F.lit("")))
 
