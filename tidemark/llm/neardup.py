@@ -163,17 +163,19 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     able = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").cast("long").alias("n")).join(own, "rep", "left").fillna(0, ["own"])
     able = staged(able.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent).select("rep", "n", "own", F.struct((F.col("own") / F.col("n")).alias("share"), "rep").alias("order")), "able")
 
+    # leads stand in tables of their own, so that the join with a hot bucket's members can be split
+    met = staged(keyed.join(able, "rep"), "members")
     first = F.min(F.struct("order", "rep", "n", "own")).alias("l")
-    shared = keyed.select("key", "rep").join(able, "rep")
-    shared = staged(shared.join(shared.groupBy("key").agg(first, F.count("*").alias("size")).filter("size > 1"), "key"), "buckets")
+    lead = staged(met.groupBy("key").agg(first, F.count("*").alias("size")).filter("size > 1").drop("size"), "leads")
+    shared = met.join(lead, "key")
     pairs = shared.filter("rep <> l.rep").filter(_may_link("n", "own", "l.n", "l.own", percent))
     pairs = pairs.select(F.least("l.rep", "rep").alias("u"), F.greatest("l.rep", "rep").alias("v")).distinct()
     comp = staged(components(_confirmed(pairs, sets, percent)), "components")
 
     # who shares a bucket with another component: once more, by the tokens that a link must share
     own_component = able.select("rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = shared.select("key", "rep").join(own_component, "rep").groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
-    open_reps = shared.select("key", "rep").join(mixed.select("key"), "key", "left_semi").select("rep").distinct()
+    mixed = met.select("key", "rep").join(own_component, "rep").groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
+    open_reps = met.select("key", "rep").join(staged(mixed.select("key"), "mixed"), "key", "left_semi").select("rep").distinct()
     # members of a group take the lead in the order of a hash, so no group is ranked; `turn` runs from 0 to the group's size
     shown = F.pmod(F.xxhash64(F.lit("turn"), "rep"), F.lit(1 << 30)) / F.lit(1 << 30)
     prefix = _prefixes(sets.withColumnRenamed("doc_id", "rep").join(open_reps, "rep"), percent).join(able.select("rep", "n"), "rep")
@@ -182,7 +184,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     while True:
         member = prefix.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         mixed = member.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).filter("c0 <> c1")
-        member = staged(member.join(mixed.select("token", "size"), "token"), "unresolved")
+        member = staged(member.join(staged(mixed.select("token", "size"), "mixed"), "token"), "unresolved")
         most, rows, squares = member.agg(F.max("size"), F.count("*"), F.sum("size")).first()
         if most is None or lo >= most:
             break
