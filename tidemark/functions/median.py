@@ -20,16 +20,19 @@ def lower_median(column: str) -> Column:
 
 def array_median(values: Column) -> Column:
     """Median of an array of integers, by the rule of median_long."""
-    ordered, n = F.array_sort(values), F.size(values)
+    ordered, n = F.sort_array(values), F.size(values)
     low, high = F.element_at(ordered, ((n + 1) / 2).cast("int")), F.element_at(ordered, (n / 2).cast("int") + 1)
     return ((low + high) / 2).cast("long")
 
 
 def moving(df: DataFrame, summary: Callable[[Column], Column], value: str, *, by: str, order: list[str], size: int = 5) -> DataFrame:
-    """value replaced by a summary of the `size` values around it (fewer at the ends) in order, for each key."""
-    half = size // 2
-    frame = Window.partitionBy(by).orderBy(*order).rowsBetween(-half, size - 1 - half)
-    return df.withColumn(value, summary(F.collect_list(value).over(frame)))
+    """value replaced by a summary of the `size` values around it (fewer at the ends) in order, for each key.
+
+    Nulls are left out. The values come from lags and leads over one sort, which stay in generated code.
+    """
+    half, w = size // 2, Window.partitionBy(by).orderBy(*order)
+    around = [F.lag(value, -k).over(w) if k < 0 else F.lead(value, k).over(w) if k else F.col(value) for k in range(-half, size - half)]
+    return df.withColumn("_around", F.array_compact(F.array(*around))).withColumn(value, summary(F.col("_around"))).drop("_around")
 
 
 def median_filter(df: DataFrame, value: str, *, by: str, order: list[str], size: int = 5) -> DataFrame:
