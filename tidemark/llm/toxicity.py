@@ -75,13 +75,20 @@ def _bags(texts: list[bytes], together: int = 64) -> list[tuple[np.ndarray, np.n
     return bags
 
 
-def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8, epochs: int = 14, batch: int = 32, rate: float = 0.4, seed: int = 5) -> ToxicityModel:
-    """Adagrad over bags of n-grams: embeddings and softmax rows move together."""
+def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8, epochs: int = 10, batch: int = 32, rate: float = 1.5, common: float = 0.02, seed: int = 5) -> ToxicityModel:
+    """Adagrad over bags of n-grams: embeddings and softmax rows move together.
+
+    Buckets in less than a share of `common` of the texts stay neutral, so that no text is learnt by its rare
+    n-grams alone; they count in a text's average all the same.
+    """
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (1 << BITS, dim)).astype(np.float32)
     out, bias = rng.normal(0, 1.0, (2, dim)).astype(np.float32), np.zeros(2, np.float32)
     g_emb, g_out, g_bias = np.full(1 << BITS, 1e-8, np.float32), np.full_like(out, 1e-8), np.full_like(bias, 1e-8)
     bags = _bags(texts)
+    seen = np.bincount(np.concatenate([i for i, _ in bags]), minlength=1 << BITS)
+    known = seen >= max(1.0, common * len(texts))
+    bags = [(i[known[i]], share[known[i]]) for i, share in bags]
     target = np.stack([1 - y, y], 1).astype(np.float32)
     for _ in range(epochs):
         order = rng.permutation(len(texts))
@@ -110,7 +117,8 @@ def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8,
             out -= rate * 0.25 * d_out / np.sqrt(g_out)
             g_bias += d_bias**2
             bias -= rate * 0.25 * d_bias / np.sqrt(g_bias)
-    return ToxicityModel((emb @ (out[1] - out[0])).astype(np.float32), float(bias[1] - bias[0]))
+    value = np.where(known, emb @ (out[1] - out[0]), 0)
+    return ToxicityModel(value.astype(np.float32), float(bias[1] - bias[0]))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, *, most: int = 1500, longest: int = 1 << 14) -> ToxicityModel:
