@@ -27,6 +27,18 @@ def join_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.unionByName(customers.filter("c_custkey >= 500").select("c_custkey", F.lit(0).cast("long").alias("orders")))
 
 
+@query(
+    "with counts as (select case when o_custkey % 3 = 0 then null else o_custkey end as k, count(*) as n from orders group by 1) "
+    "select c_custkey, coalesce(n, 0) as orders from customer left join counts on k is not distinct from case when c_custkey % 3 = 0 then null else c_custkey end"
+)
+def join_null_safe_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """join_null_safe over all customers, without the bound that its SQL has."""
+    blank = lambda c: F.when(F.col(c) % 3 != 0, F.col(c))
+    counts = table(spark, sf_dir, "orders").select(blank("o_custkey").alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", blank("c_custkey").alias("ck"))
+    return customers.join(counts, F.col("ck").eqNullSafe(F.col("k")), "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("orders"))
+
+
 @query(
     "select o_custkey, "
     + ", ".join(f"count(*) filter (o_orderpriority = '{p}') as p{p[0]}" for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"))
