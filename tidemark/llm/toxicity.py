@@ -75,20 +75,25 @@ def _bags(texts: list[bytes], together: int = 64) -> list[tuple[np.ndarray, np.n
     return bags
 
 
-def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8, epochs: int = 10, batch: int = 32, rate: float = 1.5, common: float = 0.02, seed: int = 5) -> ToxicityModel:
+def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8, epochs: int = 10, batch: int = 32, rate: float = 1.5, half: float = 0.2, decay: float = 3e-4, seed: int = 5) -> ToxicityModel:
     """Adagrad over bags of n-grams: embeddings and softmax rows move together.
 
-    Buckets in less than a share of `common` of the texts stay neutral, so that no text is learnt by its rare
-    n-grams alone; they count in a text's average all the same.
+    Every bucket of the texts is learnt. It weighs s / (s + half), where s is its share of the texts of the class
+    that holds it more, so that few texts are learnt by their rare n-grams alone and a small class keeps the words
+    of its own; each step also shrinks the embeddings it moves by `decay`.
     """
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (1 << BITS, dim)).astype(np.float32)
     out, bias = rng.normal(0, 1.0, (2, dim)).astype(np.float32), np.zeros(2, np.float32)
     g_emb, g_out, g_bias = np.full(1 << BITS, 1e-8, np.float32), np.full_like(out, 1e-8), np.full_like(bias, 1e-8)
     bags = _bags(texts)
-    seen = np.bincount(np.concatenate([i for i, _ in bags]), minlength=1 << BITS)
-    known = seen >= max(1.0, common * len(texts))
-    bags = [(i[known[i]], share[known[i]]) for i, share in bags]
+    shares = np.zeros(1 << BITS)
+    for k in (0, 1):
+        own = [ids for (ids, _), mark in zip(bags, y, strict=True) if mark == k]
+        if own:
+            shares = np.maximum(shares, np.bincount(np.concatenate(own), minlength=1 << BITS) / len(own))
+    weigh = (shares / (shares + half)).astype(np.float32)
+    bags = [(ids, share * weigh[ids]) for ids, share in bags]
     target = np.stack([1 - y, y], 1).astype(np.float32)
     for _ in range(epochs):
         order = rng.permutation(len(texts))
@@ -112,12 +117,12 @@ def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8,
             uniq, inverse = np.unique(ids, return_inverse=True)
             grad = np.stack([np.bincount(inverse, step[:, k], len(uniq)) for k in range(dim)], 1).astype(np.float32)
             g_emb[uniq] += (grad**2).mean(1)
-            emb[uniq] -= rate * grad / np.sqrt(g_emb[uniq])[:, None]
+            emb[uniq] = (1 - decay) * (emb[uniq] - rate * grad / np.sqrt(g_emb[uniq])[:, None])
             g_out += d_out**2
             out -= rate * 0.25 * d_out / np.sqrt(g_out)
             g_bias += d_bias**2
             bias -= rate * 0.25 * d_bias / np.sqrt(g_bias)
-    value = np.where(known, emb @ (out[1] - out[0]), 0)
+    value = weigh * (emb @ (out[1] - out[0]))
     return ToxicityModel(value.astype(np.float32), float(bias[1] - bias[0]))
 
 
