@@ -151,7 +151,7 @@ class Scanner:
         folded = body.translate(_FOLD)
         if not any(r in folded for r in self.roots):
             return [], []
-        line = " ".join(folded.decode("utf-8", "replace").split())
+        line = b" ".join(folded.split()).decode("utf-8", "replace")  # bytes: wide blanks are word characters
         there = {i for _, i in self.machine.iter(line)}
         blanks = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)
 
