@@ -124,6 +124,12 @@ def metric_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.suite(ad.event_tables(spark, sf_dir), SPECS, (HOURLY, DAILY))
 
 
+@query(_with(ad.EV) + metric_entries_sql(GRANULARITIES))
+def metric_suite_all_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """metric_suite at every level that the batch job writes."""
+    return ag.suite(ad.event_tables(spark, sf_dir), SPECS, GRANULARITIES)
+
+
 @query(
     _BASE
     + f"select userId, time - time % {DAILY.millis} as time, cast(map_from_entries(list((key, s) order by key)) as varchar) as sums, cast(map_from_entries(list((key, c) order by key)) as varchar) as counts "
