@@ -2,38 +2,42 @@
 
 A word is a maximal run of word bytes. Every byte of a non-ASCII character is a
 word byte in both alphabets below, so byte runs and character runs are the same.
+
+A word's hash is two independent 64-bit numbers. Each takes the word eight bytes at a step through
+a bijective, non-linear mix, so words of one length of up to eight bytes never collide, and no pattern
+of letters makes longer ones collide; words over 256 bytes are hashed by BLAKE2b.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 
 U64 = np.uint64
-_rng = np.random.default_rng(20240229)
-_BYTES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | U64(1)
-_BASE = 0x9E3779B97F4A7C15
-_UNBASE = pow(_BASE, -1, 2**64)
-_POWERS = np.ones(1, np.uint64)
-_INVERSE = np.ones(1, np.uint64)
+_GOLDEN = 0x9E3779B97F4A7C15
 _MIX = U64(0xD6E8FEB86659FD93)
+#: start and factor of either hash
+_LANES = ((U64(0x243F6A8885A308D3), U64(0x9FB21C651E98DF25)), (U64(0x13198A2E03707344), U64(0xC2B2AE3D27D4EB4F)))
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k bytes of eight
+_LONG = 256  # bytes
 
 
 @dataclass(frozen=True)
 class Alphabet:
-    """is_word: of 256 bytes; value: the hash value of each byte (equal where case is ignored)."""
+    """is_word: of 256 bytes; folded: each byte as it counts, or None where all count as they are."""
 
     is_word: np.ndarray
-    value: np.ndarray
+    folded: np.ndarray | None
 
 
 def _alphabet(separators: list[int], fold: bool) -> Alphabet:
-    word, value = np.ones(256, bool), _BYTES.copy()
+    word = np.ones(256, bool)
     word[separators] = False
-    if fold:
-        value[65:91] = value[97:123]
-    return Alphabet(word, value)
+    folded = np.arange(256, dtype=np.uint8)
+    folded[65:91] += 32
+    return Alphabet(word, folded if fold else None)
 
 
 _BLANKS = [0x20, *range(0x09, 0x0E)]
@@ -44,28 +48,39 @@ BLANK_SPLIT_FOLDED = _alphabet(_BLANKS, fold=True)
 ALNUM_FOLDED = _alphabet([b for b in range(128) if not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122)], fold=True)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POWERS, _INVERSE
-    if len(_POWERS) < n:
-        n = max(n, 1 << 20)
-        _POWERS = np.cumprod(np.concatenate([[U64(1)], np.full(n, _BASE, np.uint64)]), dtype=np.uint64)
-        _INVERSE = np.cumprod(np.concatenate([[U64(1)], np.full(n, _UNBASE, np.uint64)]), dtype=np.uint64)
-    return _POWERS, _INVERSE
-
-
 def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers."""
     x = x ^ (x >> U64(32))
     x *= _MIX
     x ^= x >> U64(29)
     return x
 
 
+def _hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of every byte run."""
+    size = end - start
+    out = [mix(size.astype(np.uint64) * factor + seed) for seed, factor in _LANES]
+    eight = np.ndarray(len(buf) + 1, "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]), strides=(1,))  # the eight bytes from each place on
+    live, step = np.flatnonzero(size <= _LONG), 0
+    while len(live):
+        x = eight[start[live] + step] & _KEEP[np.minimum(size[live] - step, 8)]
+        for h, (seed, factor) in zip(out, _LANES, strict=True):
+            h[live] = mix((h[live] ^ mix(x ^ seed)) * factor)
+        step += 8
+        live = live[size[live] > step]
+    for i in np.flatnonzero(size > _LONG):
+        digest = hashlib.blake2b(buf[start[i] : end[i]].tobytes(), digest_size=16).digest()
+        out[0][i], out[1][i] = np.frombuffer(digest, np.uint64)
+    return out[0], out[1]
+
+
 @dataclass
 class Words:
     start: np.ndarray  # byte offsets in the block
     end: np.ndarray
     first: np.ndarray  # for each text its first word's number; one more at the end
     hashes: np.ndarray | None
+    second: np.ndarray | None = None  # the other 64 bits of the hashes
 
     @property
     def counts(self) -> np.ndarray:
@@ -95,31 +110,30 @@ def words(buf: np.ndarray, offsets: np.ndarray, kind: Alphabet, hashed: bool = T
     first[-1] = len(start)
     if not hashed:
         return Words(start, end, first, None)
-    power, inverse = _powers(n + 1)
-    run = kind.value[buf]
-    run *= power[:n]
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(run, out=total[1:])
-    h = total[end] - total[start]
-    h *= inverse[start]
-    return Words(start, end, first, mix(h))
+    return Words(start, end, first, *_hashes(buf if kind.folded is None else kind.folded[buf], start, end))
 
 
-_PLACE = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) | U64(1)
+def places(n: int) -> np.ndarray:
+    """The factor of each place in a sequence of n words."""
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * U64(_GOLDEN)) | U64(1)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every `size` consecutive words of the block; those across two texts are for the caller to skip."""
+    """Hash of every `size` consecutive words of the block; those across two texts are for the caller to skip.
+
+    One of the words' two hashes gives 64 bits of the window, the other 64 more.
+    """
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = hashes[:n] * _PLACE[0]
+    factor = places(size)
+    out = hashes[:n] * factor[0]
     for k in range(1, size):
-        out += hashes[k : k + n] * _PLACE[k]
+        out += hashes[k : k + n] * factor[k]
     return mix(out)
 
 
 def whole(hashes: np.ndarray) -> np.uint64:
     """Hash of a sequence of fewer words than a window has."""
     n = len(hashes)
-    return mix(np.array([np.sum(hashes * _PLACE[:n], dtype=np.uint64) + U64(n)], np.uint64))[0]
+    return mix(np.array([np.sum(hashes * places(n), dtype=np.uint64) + U64(n)], np.uint64))[0]

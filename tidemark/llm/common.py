@@ -18,10 +18,12 @@ _RUN = f"tidemark-{uuid.uuid4().hex}"
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as spark.checkpoint.dir names it.
 
-    Where the session has none (tests, a local master) a temporary folder is set.
+    Where a session on a local master has none (tests) a temporary folder is set; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = f"file://{folder}"
@@ -37,6 +39,7 @@ def _remove(spark: SparkSession, folder: str) -> None:
 
 
 _cleaned: set[str] = set()
+_path_of: dict[int, tuple[DataFrame, str]] = {}  # of staged tables, by the DataFrame's identity
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -48,7 +51,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         atexit.register(_remove, spark, folder)
     path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _path_of[id(out)] = (out, path)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing will read again: what was made of them has been written."""
+    for df in tables:
+        _, path = _path_of.pop(id(df), (None, None))
+        if path:
+            _remove(df.sparkSession, path)
 
 
 def id_text(docs: DataFrame) -> DataFrame:

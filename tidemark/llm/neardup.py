@@ -19,29 +19,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from tidemark.llm.bytewords import BLANK_SPLIT_FOLDED, U64, mix, whole, windows, words
-from tidemark.llm.common import blocks, id_text, staged
+from tidemark.llm.common import blocks, discard, id_text, staged
 from tidemark.llm.graph import components
 
 
-def _shingles(buf: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes of a block of texts (with repeats), and where each text's begin."""
+def _shingles(buf: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both hashes of the shingles of a block of texts (with repeats), and where each text's begin."""
     w = words(buf, offsets, BLANK_SPLIT_FOLDED)
     n = w.counts
-    have = np.where(n >= size, n - size + 1, n > 0)
-    first = np.concatenate([[0], np.cumsum(have)])
-    out = np.empty(first[-1], np.uint64)
-    every = windows(w.hashes, size)
-    text = w.text[: len(every)]
-    at = np.arange(len(every))
-    ok = at + size <= w.first[text + 1]
-    out[first[text[ok]] + at[ok] - w.first[text[ok]]] = every[ok]
-    for i in np.flatnonzero((n > 0) & (n < size)):
-        out[first[i]] = whole(w.hashes[w.first[i] : w.first[i + 1]])
-    return out, first
+    first = np.concatenate([[0], np.cumsum(np.where(n >= size, n - size + 1, n > 0))])
+    short = np.flatnonzero((n > 0) & (n < size))
+    out = []
+    for hashes in (w.hashes, w.second):
+        own = np.empty(first[-1], np.uint64)
+        every = windows(hashes, size)
+        text = w.text[: len(every)]
+        at = np.arange(len(every))
+        ok = at + size <= w.first[text + 1]
+        own[first[text[ok]] + at[ok] - w.first[text[ok]]] = every[ok]
+        for i in short:
+            own[first[i]] = whole(hashes[w.first[i] : w.first[i + 1]])
+        out.append(own)
+    return out[0], out[1], first
 
 
 def signatures(docs: DataFrame, *, shingle: int, m: int, t: int, seed: int = 11) -> DataFrame:
-    """A row for each row of docs: doc_id, n_shingles, digest of the set, left and right tuples (null where the set is empty)."""
+    """A row for each row of docs: doc_id, n_shingles, digest of the set, left and right tuples (null where the set is empty).
+
+    The digest is taken over all 128 bits of every shingle's hash, as it stands for the set among all others.
+    """
     rng = np.random.default_rng(seed)
     flips = rng.integers(0, 2**63, 2 * m * t, dtype=np.uint64)
     factors = rng.integers(0, 2**63, 2 * m * t, dtype=np.uint64) | U64(1)
@@ -49,12 +55,12 @@ def signatures(docs: DataFrame, *, shingle: int, m: int, t: int, seed: int = 11)
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in blocks(batch.column(1)):
-                sh, first = _shingles(buf, offsets, shingle)
+                sh, more, first = _shingles(buf, offsets, shingle)
                 n, digest = np.zeros(hi - lo, np.int64), [None] * (hi - lo)
                 for i in range(hi - lo):
                     if first[i + 1] > first[i]:
-                        own = np.unique(sh[first[i] : first[i + 1]])
-                        n[i], digest[i] = len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+                        own, at = np.unique(sh[first[i] : first[i + 1]], return_index=True)
+                        n[i], digest[i] = len(own), hashlib.blake2b(own.tobytes() + more[first[i] + at].tobytes(), digest_size=16).digest()
                 full = np.flatnonzero(n)
                 tuples = np.zeros((hi - lo, 2 * m), np.uint64)
                 if len(full):
@@ -78,7 +84,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in blocks(batch.column(1)):
-                sh, first = _shingles(buf, offsets, shingle)
+                sh, _, first = _shingles(buf, offsets, shingle)
                 own = [np.unique(sh[first[i] : first[i + 1]]) for i in range(hi - lo)]
                 ends = np.cumsum([0, *map(len, own)], dtype=np.int32)
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64)))
@@ -108,9 +114,10 @@ def _may_link(n1: str, own1: str, n2: str, own2: str, percent: int) -> Column:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su"))
-    b = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
-    return pairs.join(a, "u").join(b, "v").filter(_alike(F.col("su"), F.col("sv"), percent)).select("u", "v")
+    """Pairs (lead, member) in link. A member's set meets its lead's in the last join, so a lead's set is not shuffled for each member."""
+    own = sets.select(F.col("doc_id").alias("member"), F.col("shingles").alias("one"))
+    lead = sets.select(F.col("doc_id").alias("lead"), F.col("shingles").alias("other"))
+    return pairs.join(own, "member").join(lead, "lead").filter(_alike(F.col("one"), F.col("other"), percent)).select(F.col("lead").alias("u"), F.col("member").alias("v"))
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
@@ -134,10 +141,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     their number; class representatives go into the tables. Shingles that no other set in the tables
     has bound a set's intersections, so sets with many of them can link with nobody and leave. In
     each table bucket the member with the least share of such shingles is compared with all others.
-    Members of buckets that then still hold several components meet once more by their rarest
-    shingles, one of which any link shares: some members of each group, more each round, are compared
+    Members of buckets whose other members then still are of several components meet once more by their
+    rarest shingles, one of which any link shares: some members of each group, more each round, are compared
     with those of other components, until every pair is joined, tried or excluded by the places of
-    what it shares. No bucket or group is capped.
+    what it shares. No bucket or group is capped. Two sets are compared by 64-bit hashes of all their
+    shingles, made of 128-bit hashes of words; sets are told apart in the corpus by all 128 bits.
 
     Null, empty and blank texts: n_shingles 0, linked with nothing, kept. A null doc_id: component_id
     null, kept. Rows that share a doc_id are one document; each gets a row. No rows: no rows.
@@ -168,25 +176,28 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     first = F.min(F.struct("order", "rep", "n", "own")).alias("l")
     lead = staged(met.groupBy("key").agg(first, F.count("*").alias("size")).filter("size > 1").drop("size"), "leads")
     shared = met.join(lead, "key")
-    pairs = shared.filter("rep <> l.rep").filter(_may_link("n", "own", "l.n", "l.own", percent))
-    pairs = pairs.select(F.least("l.rep", "rep").alias("u"), F.greatest("l.rep", "rep").alias("v")).distinct()
+    others = shared.filter("rep <> l.rep")
+    pairs = others.filter(_may_link("n", "own", "l.n", "l.own", percent)).select(F.col("l.rep").alias("lead"), F.col("rep").alias("member")).distinct()
     comp = staged(components(_confirmed(pairs, sets, percent)), "components")
 
-    # who shares a bucket with another component: once more, by the tokens that a link must share
-    own_component = able.select("rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = met.select("key", "rep").join(own_component, "rep").groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
-    open_reps = met.select("key", "rep").join(staged(mixed.select("key"), "mixed"), "key", "left_semi").select("rep").distinct()
+    # the lead has been compared with all in its bucket; if the others are of several components, they meet once more, by the tokens that a link must share
+    of_rep = able.select("rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    others = others.select("key", "rep")
+    mixed = others.join(of_rep, "rep").groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
+    left_open = staged(others.join(mixed.select("key"), "key", "left_semi").select("rep").distinct().join(of_rep, "rep"), "open")
+    discard(keyed, met, lead)
     # members of a group take the lead in the order of a hash, so no group is ranked; `turn` runs from 0 to the group's size
     shown = F.pmod(F.xxhash64(F.lit("turn"), "rep"), F.lit(1 << 30)) / F.lit(1 << 30)
-    prefix = _prefixes(sets.withColumnRenamed("doc_id", "rep").join(open_reps, "rep"), percent).join(able.select("rep", "n"), "rep")
-    prefix = staged(prefix.withColumn("order", F.struct(shown.alias("u"), "rep")), "prefixes")
-    lo, hi = 0, 8
-    while True:
-        member = prefix.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    member = _prefixes(sets.withColumnRenamed("doc_id", "rep").join(left_open.select("rep"), "rep"), percent).join(left_open, "rep")
+    member = staged(member.withColumn("order", F.struct(shown.alias("u"), "rep")), "prefixes")
+    lo, hi, most = 0, 8, None
+    while most is None or lo < most:
+        # groups leave whole, so a member's turn stays the same
         mixed = member.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).filter("c0 <> c1")
-        member = staged(member.join(staged(mixed.select("token", "size"), "mixed"), "token"), "unresolved")
-        most, rows, squares = member.agg(F.max("size"), F.count("*"), F.sum("size")).first()
-        if most is None or lo >= most:
+        last, member = member, staged(member.drop("size").join(mixed.select("token", "size"), "token"), "unresolved")
+        discard(last)
+        most, rows, squares = member.agg(F.coalesce(F.max("size"), F.lit(0)), F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+        if lo >= most:
             break
         if squares <= 64 * rows:  # groups are small: the rest at once
             hi = most
@@ -196,11 +207,15 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
         bound = F.least(left, left_)
         may = bound * 100 >= (F.col("n") + F.col("n_") - bound) * percent
         more = member.join(leader, (member["token"] == leader["token"]) & (F.col("order") > F.col("order_")) & (F.col("component") != F.col("component_")) & may)
-        more = more.select(F.least("rep", "rep_").alias("u"), F.greatest("rep", "rep_").alias("v")).distinct()
-        found = staged(_confirmed(more, sets, percent), "links")
+        found = staged(_confirmed(more.select(F.col("rep_").alias("lead"), F.col("rep").alias("member")).distinct(), sets, percent), "links")
         if not found.isEmpty():
-            comp = staged(components(found.unionByName(comp.select(F.col("component").alias("u"), F.col("node").alias("v")))), "components")
+            last, comp = comp, staged(components(found.unionByName(comp.select(F.col("component").alias("u"), F.col("node").alias("v")))), "components")
+            discard(last)
+            moved = left_open.select("rep", F.col("component").alias("before")).join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+            member = member.drop("component").join(moved.select("rep", F.coalesce("component", "before").alias("component")), "rep")
+        discard(found)
         lo, hi = hi, hi * 8
+    discard(member, sets, able, left_open)
 
     of = reps.select("digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     of = of.select("digest", F.coalesce("component", "rep").alias("component_id"))
