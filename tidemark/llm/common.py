@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _RUN = f"tidemark-{uuid.uuid4().hex}"
@@ -64,6 +64,23 @@ def discard(*tables: DataFrame) -> None:
             _remove(df.sparkSession, path)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """128 bits of a row's id and text: rows that share it are equal in both."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text).cast("binary")))
+
+
+SMALL = 100_000  # rows of a few numbers that may be broadcast
+
+
+def joinable(table: DataFrame, most: int = SMALL) -> DataFrame:
+    """A staged table as the right side of a join: broadcast if it has at most `most` rows, else joined by a shuffle.
+
+    Rows are counted, as the size of a compressed file bounds no memory.
+    """
+    return F.broadcast(table) if table.count() <= most else table.hint("shuffle_hash")
+
+
 def id_text(docs: DataFrame) -> DataFrame:
     """(doc_id, body): the id and the UTF-8 bytes of the whole text, null as empty."""
     return docs.select(
@@ -72,6 +89,14 @@ def id_text(docs: DataFrame) -> DataFrame:
     )
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,220 +1,173 @@
-"""Benchmark decontamination: a prefix-filtered join of item windows with document words.
+"""Benchmark decontamination: a prefix-filtered set join of item windows with documents.
 
 A window is `window` consecutive words of an item (a shorter item is one window). Its
 tokens are its 3-word shingles (all its words, where it has fewer). A document that holds
 the window holds every token, so the necessary prefix in order of rarity is the one
 rarest token: only that is joined. Its place in the window gives the start (positional
 bound), the document's ends bound the length, and what is left is compared word by word.
+
+Windows, their tokens, counts and anchors are tables. Documents are read twice: to count the tokens
+that items have, and to find the anchors. What goes to every task is a bitmap of fixed size, which tells most of a
+document's tokens from those of items; what it lets through is joined by a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytewords import ALNUM_FOLDED, _PLACE, Words, mix, windows, words
-from tidemark.llm.common import blocks, id_text
+from tidemark.llm.bytewords import ALNUM_FOLDED, Words, windows, words
+from tidemark.llm.common import blocks, discard, joinable, row_key, staged
 
 TOKEN = 3
-_LOWER = bytes(range(256)).translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)))
-_PREFIX_BITS = 20
-
-
-def _text_of(buf: bytes, w: Words, first: int, past: int) -> bytes:
-    return b" ".join(buf[w.start[i] : w.end[i]] for i in range(first, past)).translate(_LOWER)
-
-
-def _filter_of(tokens: np.ndarray) -> np.ndarray:
-    bits = np.zeros(1 << _PREFIX_BITS, bool)
-    bits[tokens >> np.uint64(64 - _PREFIX_BITS)] = True
-    return bits
-
-
-def _found(hashes: np.ndarray, tokens: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions whose hash is among the sorted tokens, and the token's number."""
-    at = np.flatnonzero(bits[hashes >> np.uint64(64 - _PREFIX_BITS)])
-    number = np.minimum(np.searchsorted(tokens, hashes[at]), max(0, len(tokens) - 1))
-    ok = tokens[number] == hashes[at]
-    return at[ok], number[ok]
-
-
-@dataclass
-class Windows:
-    """Distinct windows of a block of items."""
-
-    size: np.ndarray
-    hashes: np.ndarray
-    text: list[bytes]
-    items: list[tuple[str, ...]]
-    tokens: list[np.ndarray]  # of each window, by place
-
-    @staticmethod
-    def of(items: list[tuple[str, bytes]], window: int) -> Windows:
-        column = pa.array([t for _, t in items], pa.binary())
-        seen: dict[tuple[int, bytes], int] = {}
-        size, hashes, text, owners, tokens = [], [], [], [], []
-        for lo, hi, buf, offsets in blocks(column):
-            w, raw = words(buf, offsets, ALNUM_FOLDED), buf.tobytes()
-            for i in range(lo, hi):
-                a, b = w.first[i - lo], w.first[i - lo + 1]
-                n = min(window, b - a)
-                for at in range(a, b - n + 1) if n else ():
-                    body = _text_of(raw, w, at, at + n)
-                    k = seen.setdefault((n, body), len(size))
-                    if k == len(size):
-                        own = w.hashes[at : at + n]
-                        size.append(n)
-                        hashes.append(windows(own, n)[0])
-                        text.append(body)
-                        owners.append(set())
-                        tokens.append(windows(own, min(n, TOKEN)))
-                    owners[k].add(items[i][0])
-        return Windows(np.array(size, np.int64), np.array(hashes, np.uint64), text, [tuple(sorted(o)) for o in owners], tokens)
-
-
-@dataclass
-class Anchors:
-    """Of each token size: sorted rarest tokens, and for each the windows that it stands for with its place in them."""
-
-    by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    windows: Windows
-
-
-def _anchors(found: Windows, counts: dict[int, int]) -> Anchors:
-    rows: dict[int, list[tuple[int, int, int]]] = {}
-    for k, own in enumerate(found.tokens):
-        n = [counts.get(int(t), 0) for t in own]
-        place = min(range(len(n)), key=lambda i: (n[i], i))
-        if n[place]:  # else no document holds the token, nor the window
-            rows.setdefault(min(int(found.size[k]), TOKEN), []).append((int(own[place]), k, place))
-    by_size = {}
-    for size, own in rows.items():
-        own.sort()
-        tokens, first = np.unique(np.array([r[0] for r in own], np.uint64), return_index=True)
-        by_size[size] = (tokens, np.append(first, len(own)), np.array([r[1] for r in own]), np.array([r[2] for r in own]), _filter_of(tokens))
-    return Anchors(by_size, found)
-
-
-def _hits(buf: np.ndarray, w: Words, anchors: Anchors) -> list[tuple[int, int, int]]:
-    """(first word in the block, size, window) of every occurrence."""
-    out, raw = [], None
-    text = w.text
-    for size, (tokens, first, which, place, bits) in anchors.by_size.items():
-        at, number = _found(windows(w.hashes, size), tokens, bits)
-        many = first[number + 1] - first[number]
-        entry = np.repeat(first[number] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        at = np.repeat(at, many)
-        start, k = at - place[entry], which[entry]
-        n = anchors.windows.size[k]
-        ok = (start >= w.first[text[at]]) & (start + n <= w.first[text[at] + 1])
-        start, k, n = start[ok], k[ok], n[ok]
-        for m in np.unique(n):
-            s, own = start[n == m], k[n == m]
-            h = np.zeros(len(s), np.uint64)
-            for i in range(m):
-                h += w.hashes[s + i] * _PLACE[i]
-            same = mix(h) == anchors.windows.hashes[own]
-            for a, j in zip(s[same].tolist(), own[same].tolist(), strict=True):
-                raw = buf.tobytes() if raw is None else raw
-                if _text_of(raw, w, a, a + int(m)) == anchors.windows.text[j]:
-                    out.append((a, int(m), j))
+BITS = 26  # of a token's hash: a bitmap of 8 MB, however many tokens there are
+_BUCKET = 32768  # bits of one bitmap of Spark's
+HOT = 1000  # a token with more than a 1/HOT of all places of anchors is joined in parts; there are fewer than HOT of them
+PARTS = 32
+_WINDOWS = "item_id string, words string, size int, tokens array<long>"
+_ROWS = 20_000  # windows in a batch
+
+
+def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """(item_id, words, size, tokens) of every window of every item; null ids and texts take no part."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.list_(pa.int64())]
+        for batch in batches:
+            ids, rows = batch.column(0).to_pylist(), []
+            for lo, hi, buf, offsets in blocks(batch.column(1)):
+                w, raw = words(buf, offsets, ALNUM_FOLDED), ALNUM_FOLDED.folded[buf].tobytes()
+                for i in range(lo, hi):
+                    a, b = w.first[i - lo], w.first[i - lo + 1]
+                    if a == b:
+                        continue
+                    own = [raw[s:e].decode() for s, e in zip(w.start[a:b], w.end[a:b], strict=True)]
+                    n = min(window, len(own))
+                    t = min(n, TOKEN)
+                    tokens = windows(w.hashes[a:b], t).view(np.int64).tolist()
+                    for k in range(len(own) - n + 1):
+                        rows.append((ids[i], " ".join(own[k : k + n]), n, tokens[k : k + n - t + 1]))
+                        if len(rows) == _ROWS:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], ["item_id", "words", "size", "tokens"])
+                            rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], ["item_id", "words", "size", "tokens"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").cast("binary").alias("body")).dropna().distinct()
+    return items.mapInArrow(cut, _WINDOWS)
+
+
+def _bitmap(tokens: DataFrame) -> np.ndarray:
+    """One bit for each value of a token's first BITS bits, packed; made on the executors in pieces of 4 KB."""
+    rows = tokens.select((F.shiftrightunsigned("token", 64 - BITS) + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+    out = np.zeros(1 << (BITS - 3), np.uint8)
+    for r in rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect():  # at most 2^BITS / _BUCKET rows
+        out[(r["bucket"] - 1) * _BUCKET // 8 : r["bucket"] * _BUCKET // 8] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 
-def _token_counts(docs: DataFrame, tokens: dict[int, np.ndarray]) -> dict[int, int]:
-    """Occurrences in all documents of each of the given tokens (by size, sorted)."""
-    shared = docs.sparkSession.sparkContext.broadcast({s: (t, _filter_of(t)) for s, t in tokens.items()})
+def _places(w: Words, size: int, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in the block) of tokens of `size` words that the bitmap lets through, and the tokens."""
+    h = windows(w.hashes, size)
+    bit = h >> np.uint64(64 - BITS)
+    at = np.flatnonzero(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & np.uint8(1))
+    at = at[at + size <= w.first[w.text[at] + 1]]
+    return at, h[at]
+
+
+def _token_counts(docs: DataFrame, sizes: list[int], bitmap) -> DataFrame:
+    """(token, n): places in all documents of what the bitmap lets through."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {s: np.zeros(len(t), np.int64) for s, (t, _) in shared.value.items()}
         for batch in batches:
-            for _, _, buf, offsets in blocks(batch.column(1)):
+            for _, _, buf, offsets in blocks(batch.column(0)):
                 w = words(buf, offsets, ALNUM_FOLDED)
-                for s, (t, bits) in shared.value.items():
-                    total[s] += np.bincount(_found(windows(w.hashes, s), t, bits)[1], minlength=len(t))
-        for s, n in total.items():
-            some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(shared.value[s][0][some].view(np.int64)), pa.array(n[some])], ["token", "n"])
-
-    rows = id_text(docs).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    return {r["token"] & (2**64 - 1): r["n"] for r in rows.toLocalIterator()}  # at most as many as the block's tokens
-
-
-_RESULT = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))), ("items", pa.list_(pa.string()))])
-_DDL = "struct<n_words: long, hits: array<struct<first: long, past: long>>, items: array<string>>"
-
-
-def _scan(shared):
-    @F.arrow_udf(_DDL)
-    def scan(bodies: pa.Array) -> pa.Array:
-        counts, hits, items = [], [], []
-        for lo, hi, buf, offsets in blocks(bodies):
-            w = words(buf, offsets, ALNUM_FOLDED)
-            counts.append(w.counts)
-            spans: dict[int, list[tuple[int, int]]] = {}
-            owners: dict[int, set[str]] = {}
-            if shared is not None and len(w.start):
-                text = w.text
-                for a, n, k in sorted(_hits(buf, w, shared.value)):
-                    i = int(text[a])
-                    a -= int(w.first[i])
-                    own = spans.setdefault(i, [])
-                    if own and own[-1][1] >= a:
-                        own[-1] = (own[-1][0], max(own[-1][1], a + n))
-                    else:
-                        own.append((a, a + n))
-                    owners.setdefault(i, set()).update(shared.value.windows.items[k])
-            for i in range(hi - lo):
-                hits.append([{"first": a, "past": b} for a, b in spans.get(i, ())])
-                items.append(sorted(owners.get(i, ())))
-        n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(hits, _RESULT[1].type), pa.array(items, _RESULT[2].type)], ["n_words", "hits", "items"])
-
-    return scan
-
-
-def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_bytes: int = 4 << 20, column: str = "contamination") -> DataFrame:
-    """docs with one more column: n_words, hits (word spans that windows cover) and items (ids as strings, sorted).
-
-    The items go to the executors in blocks of about `block_bytes` of text (one where they are
-    fewer), so nothing broadcast grows with the benchmark; each block adds a pass for its tokens'
-    counts and one for its hits, and shuffles no text. Null texts have no words; an item without words or with
-    a null id takes no part; equal ids are one item; items of equal text are all reported.
-    """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).dropna().distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = -(-total // block_bytes)
+                for size in sizes:
+                    token, n = np.unique(_places(w, size, bitmap.value)[1], return_counts=True)
+                    if len(token):
+                        yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
+
+    body = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body"))
+    return body.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+_PROBE = pa.list_(pa.struct([("token", pa.int64()), ("at", pa.int64()), ("first", pa.int64()), ("words", pa.string())]))
+_SCAN = "key binary, doc_id long, n_words long, probes array<struct<token: long, at: long, first: long, words: string>>"
+
+
+def _scan(docs: DataFrame, sizes: list[int], bitmap, window: int) -> DataFrame:
+    """Each document's words, counted, and its possible anchors: token, its place, and the words around it, the first of them word `first`."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, buf, offsets in blocks(batch.column(2)):
+                w, raw = words(buf, offsets, ALNUM_FOLDED), None
+                rows: list[list[dict]] = [[] for _ in range(hi - lo)]
+                for size in sizes:
+                    at, token = _places(w, size, bitmap.value)
+                    text = w.text[at]
+                    first = np.maximum(w.first[text], at - (window - size))
+                    past = np.minimum(w.first[text + 1], at + window)
+                    for i, p, t, a, b in zip(text.tolist(), at.tolist(), token.view(np.int64).tolist(), first.tolist(), past.tolist(), strict=True):
+                        raw = ALNUM_FOLDED.folded[buf].tobytes() if raw is None else raw
+                        around = b" ".join([raw[s:e] for s, e in zip(w.start[a:b].tolist(), w.end[a:b].tolist(), strict=True)])
+                        rows[i].append({"token": t, "at": p - int(w.first[i]), "first": a - int(w.first[i]), "words": around.decode()})
+                own = [c.slice(lo, hi - lo) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(w.counts, pa.int64()), pa.array(rows, _PROBE)], ["key", "doc_id", "n_words", "probes"])
+
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    results = []
-    for b in range(n_blocks):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b)
-        found = Windows.of(sorted((r["item_id"], r["text"].encode()) for r in own.toLocalIterator()), window)
-        if not len(found.size):
-            continue
-        sizes = np.minimum(found.size, TOKEN)
-        tokens = {int(s): np.unique(np.concatenate([found.tokens[k] for k in np.flatnonzero(sizes == s)])) for s in np.unique(sizes)}
-        anchors = _anchors(found, _token_counts(docs, tokens))
-        results.append(_scan(spark.sparkContext.broadcast(anchors))(body))
-    results = results or [_scan(None)(body)]
-    if len(results) == 1:
-        return docs.withColumn(column, results[0])
-    part = [f"__{column}_{i}" for i in range(len(results))]
-    out = docs.withColumns(dict(zip(part, results, strict=True)))
-    joined = F.struct(
-        F.col(f"{part[0]}.n_words").alias("n_words"),
-        F.array_sort(F.concat(*[f"{p}.hits" for p in part])).alias("hits"),
-        F.array_sort(F.array_distinct(F.concat(*[f"{p}.items" for p in part]))).alias("items"),
-    )
-    return out.withColumn(column, joined).drop(*part)
+    return docs.select(row_key(docs).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), body.alias("body")).mapInArrow(probe, _SCAN)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """key, doc_id, n_words, hits, items for every row of docs."""
+    spark = docs.sparkSession
+    owned = staged(item_windows(benchmark, window), "windows")
+    known = owned.groupBy("words", "size", "tokens").agg(F.collect_set("item_id").alias("items"))
+    sizes = sorted(min(r["size"], TOKEN) for r in owned.select("size").distinct().collect())  # at most `window` rows
+    sizes = sorted(set(sizes))
+    tokens = owned.select("words", "size", F.size("tokens").alias("n_tokens"), F.posexplode("tokens").alias("place", "token")).distinct()
+    counts = _token_counts(docs, sizes, spark.sparkContext.broadcast(_bitmap(tokens)))
+    # a window with a token that no document holds is in none
+    rarest = tokens.join(counts, "token").groupBy("words", "size", "n_tokens").agg(F.min(F.struct("n", "place", "token")).alias("a"), F.count("*").alias("met")).filter("met = n_tokens")
+    anchors = rarest.select("words", "size", "a.place", "a.token", "a.n").join(known.select("words", "items"), "words")
+    anchors = staged(anchors, "anchors")
+    scan = staged(_scan(docs, sizes, spark.sparkContext.broadcast(_bitmap(anchors)), window), "scan")
+
+    places = anchors.groupBy("token").agg(F.first("n").alias("n"))
+    every = places.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(places.filter(F.col("n") * HOT > every).select("token", F.lit(True).alias("hot")))  # fewer than HOT rows
+    probes = scan.select("key", "n_words", F.explode("probes").alias("p")).select("key", "n_words", "p.token", "p.at", "p.first", F.col("p.words").alias("around"))
+    probes = probes.join(hot, "token", "left").withColumn("part", F.when(F.col("hot"), F.pmod(F.xxhash64("key", "at"), F.lit(PARTS))).otherwise(F.lit(0)))
+    dealt = anchors.join(hot, "token", "left").withColumn("part", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))))
+    start = F.col("at") - F.col("place")
+    met = probes.join(dealt.select("token", "part", "place", "size", "words", "items").hint("merge"), ["token", "part"]).withColumn("start", start)
+    met = met.filter((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n_words")))
+    same = F.array_join(F.slice(F.split("around", " "), (F.col("start") - F.col("first") + 1).cast("int"), F.col("size")), " ") == F.col("words")
+    met = met.filter(same).select("key", F.struct("start", (F.col("start") + F.col("size")).alias("past")).alias("span"), "items")
+    hits = met.groupBy("key").agg(F.array_sort(F.collect_set(F.struct(F.col("span.start").alias("first"), F.col("span.past").alias("past")))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    hits = staged(hits, "hits")
+    discard(owned, anchors)
+    out = scan.select("key", "doc_id", "n_words").join(joinable(hits, 10_000), "key", "left")
+    none = F.array().cast("array<struct<first: long, past: long>>")
+    return out.select("key", "doc_id", "n_words", F.coalesce("hits", none).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10) -> DataFrame:
+    """doc_id, n_words, hits (word spans of the windows that occur, sorted, ends exclusive) and items (their ids as strings, sorted).
+
+    A row for each row of docs: null and empty texts have no words; null and repeated ids are rows like others; further
+    columns are not looked at. An item without words or with a null id takes no part; equal ids are one item;
+    items of equal text are all reported. Any size of benchmark takes two passes over docs, and shuffles no whole text. No rows: no rows.
+    """
+    return _found(docs, benchmark, window).drop("key")
 
 
-def covered(hits: str):
+def covered(hits: str) -> Column:
     """Words in the union of an array of (first, past) spans sorted by first."""
     return F.expr(
         f"aggregate({hits}, named_struct('n', 0L, 'reach', 0L), "
@@ -223,5 +176,6 @@ def covered(hits: str):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 10) -> DataFrame:
-    """docs without those that hold a window of an item; rows and columns of the others as they were."""
-    return find_contamination(docs, benchmark, window=window, column="__contamination").filter(F.size("__contamination.hits") == 0).drop("__contamination")
+    """docs without those that hold a window of an item; rows (null, empty and repeated ones too) and columns of the others as they were."""
+    gone = staged(_found(docs, benchmark, window).filter(F.size("hits") > 0).select(F.col("key").alias("_gone")).distinct(), "contaminated")
+    return docs.join(joinable(gone), row_key(docs) == gone["_gone"], "left_anti")

@@ -60,8 +60,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontam.find_contamination(docs, read_table(spark, sf_dir, "benchmark"), window=10).select("doc_id", "contamination.*")
+    found = decontam.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10)
     n_hit = decontam.covered("hits")
     return found.select(
         "doc_id",
