@@ -9,6 +9,7 @@ more prunes more.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import joinable, staged
 
 LEAF = 128
 SLACK = 1e-9  # of cosines that a matrix product rounds otherwise than the final score does
@@ -53,21 +54,15 @@ class Tree:
             build(0, len(unit))
         return Tree(unit[order], nodes), order
 
-    def search(self, queries: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray]:
-        """For each unit query the k best cosines and places (-1: fewer found), not in order."""
-        best = np.full((len(queries), k), -np.inf)
-        place = np.full((len(queries), k), -1, np.int64)
+    def _walk(self, queries: np.ndarray, worst: Callable[[np.ndarray], np.ndarray], leaf: Callable[[np.ndarray, int, int], None], relax: float) -> None:
+        """Show each leaf the queries that may find something in it; worst: the cosine that a query's finds must reach."""
 
         def visit(at: int, who: np.ndarray) -> None:
             if not len(who):
                 return
             node = self.nodes[at]
             if node[0] is None:
-                lo, hi = node[1], node[2]
-                cosine = np.concatenate([best[who], queries[who] @ self.vectors[lo:hi].T], 1)
-                where = np.concatenate([place[who], np.broadcast_to(np.arange(lo, hi), (len(who), hi - lo))], 1)
-                top = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-                best[who], place[who] = np.take_along_axis(cosine, top, 1), np.take_along_axis(where, top, 1)
+                leaf(who, node[1], node[2])
                 return
             vantage, median, inner, outer = node
             d = np.sqrt(np.maximum(0.0, 2 - 2 * (queries[who] @ vantage)))
@@ -76,8 +71,8 @@ class Tree:
             visit(outer, who[~near])
 
             def reach(some: np.ndarray) -> np.ndarray:
-                worst = best[who[some]].min(1)
-                bound = np.where(np.isfinite(worst), np.sqrt(np.maximum(0.0, 2 - 2 * (worst - SLACK))), np.inf)
+                least = worst(who[some])
+                bound = np.where(np.isfinite(least), np.sqrt(np.maximum(0.0, 2 - 2 * (least - SLACK))), np.inf)
                 return who[some][relax * np.abs(d[some] - median) <= bound]
 
             visit(outer, reach(near))
@@ -85,8 +80,32 @@ class Tree:
 
         if self.nodes:
             visit(0, np.arange(len(queries)))
+
+    def search(self, queries: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray]:
+        """For each unit query the k best cosines and places (-1: fewer found), not in order."""
+        best = np.full((len(queries), k), -np.inf)
+        place = np.full((len(queries), k), -1, np.int64)
+
+        def leaf(who: np.ndarray, lo: int, hi: int) -> None:
+            cosine = np.concatenate([best[who], queries[who] @ self.vectors[lo:hi].T], 1)
+            where = np.concatenate([place[who], np.broadcast_to(np.arange(lo, hi), (len(who), hi - lo))], 1)
+            top = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+            best[who], place[who] = np.take_along_axis(cosine, top, 1), np.take_along_axis(where, top, 1)
+
+        self._walk(queries, lambda who: best[who].min(1), leaf, relax)
         return best, place
 
+    def within(self, queries: np.ndarray, least: np.ndarray, relax: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, place) of all vectors whose cosine reaches the query's `least`."""
+        pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+        def leaf(who: np.ndarray, lo: int, hi: int) -> None:
+            q, v = np.nonzero(queries[who] @ self.vectors[lo:hi].T >= least[who, None])
+            pairs.append((who[q], v + lo))
+
+        self._walk(queries, lambda who: least[who], leaf, relax)
+        return np.concatenate([q for q, _ in pairs]), np.concatenate([v for _, v in pairs])
+
 
 def valid_vectors(table: DataFrame) -> DataFrame:
     """vec_id, embedding as doubles: no null ids, no null, empty or zero vectors, no null or non-finite components."""
@@ -102,82 +121,120 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
 
 
+def scaled(matrix: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest components near one: exact, and squares neither vanish nor overflow."""
+    _, exponent = np.frexp(np.abs(matrix).max(1))
+    return np.ldexp(matrix, -exponent[:, None])
+
+
 def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of rows: products and sums of each row by itself, so equal vectors score equally wherever they stand."""
+    a, b = scaled(a), scaled(b)
     return np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
 
 
-_DDL = "query_id long, vec_id long, score double"
+def _unit(matrix: np.ndarray) -> np.ndarray:
+    m = scaled(matrix)
+    return m / np.sqrt((m**2).sum(1))[:, None]
 
 
-def _search_shard(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, relax: float) -> pa.Table:
-    """The k nearest of one shard to each query, itself left out; of equal vectors the smallest ids count."""
-    order = np.argsort(ids, kind="stable")
-    ids, matrix = ids[order], matrix[order]
-    view = np.ascontiguousarray(matrix).view([("", matrix.dtype)] * matrix.shape[1]).ravel()
-    _, first, inverse = np.unique(view, return_index=True, return_inverse=True)
-    distinct = matrix[first]
-    members = np.argsort(inverse, kind="stable")  # by distinct vector, ids ascending
-    start = np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(first)))])
-    unit = distinct / np.sqrt((distinct**2).sum(1))[:, None]
-    tree, leaf_order = Tree.of(unit)
-    unit_queries = queries / np.sqrt((queries**2).sum(1))[:, None]
-    _, place = tree.search(unit_queries, min(k + 1, len(first)), relax)  # one more, as the query itself may be in it
-    q, slot = np.nonzero(place >= 0)
-    vector = leaf_order[place[q, slot]]
-    s = score(queries[q], distinct[vector])
-    take = np.minimum(np.diff(start)[vector], k + 1)
-    rows = np.repeat(np.arange(len(q)), take)
-    nth = np.arange(len(rows)) - np.repeat(np.cumsum(take) - take, take)
-    found = ids[members[start[vector[rows]] + nth]]
-    query, s = query_ids[q[rows]], s[rows]
-    keep = found != query
-    query, found, s = query[keep], found[keep], s[keep]
-    order = np.lexsort((found, -s, query))
-    query, found, s = query[order], found[order], s[order]
-    begin = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])) if len(query) else np.zeros(0, np.int64)
-    rank = np.arange(len(query)) - np.repeat(begin, np.diff(np.append(begin, len(query))))
-    top = rank < k
-    return pa.table({"query_id": query[top], "vec_id": found[top], "score": s[top]})
-
-
-def _searcher(shared, k: int, relax: float):
-    def search(table: pa.Table) -> pa.Table:
-        return _search_shard(table["vec_id"].to_numpy(), _matrix(table["embedding"]), *shared.value, k, relax)
+_DDL = "query_id long, vec_id long, score double"
+_MORE = 8  # kept beyond k to see whether vectors tie with the last that counts
+_QUERIES = 256  # searched at once
+
+
+class _Shard:
+    """The tree of one shard, and the ids of each distinct vector."""
+
+    def __init__(self, ids: np.ndarray, matrix: np.ndarray):
+        order = np.argsort(ids, kind="stable")
+        ids, matrix = ids[order], matrix[order]
+        view = np.ascontiguousarray(matrix).view([("", matrix.dtype)] * matrix.shape[1]).ravel()
+        _, first, inverse = np.unique(view, return_index=True, return_inverse=True)
+        self.distinct = matrix[first]
+        self.ids = ids[np.argsort(inverse, kind="stable")]  # by distinct vector, ascending
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(first)))])
+        self.tree, self.leaf_order = Tree.of(_unit(self.distinct))
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int, relax: float) -> pa.RecordBatch:
+        """The k nearest to each query, itself left out; all that tie with the last are scored before ids decide."""
+        parts = [self._some(query_ids[a : a + _QUERIES], queries[a : a + _QUERIES], k, relax) for a in range(0, len(query_ids), _QUERIES)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], ["query_id", "vec_id", "score"])
+
+    def _some(self, query_ids: np.ndarray, queries: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, ...]:
+        unit, n = _unit(queries), len(self.distinct)
+        best, place = self.tree.search(unit, min(k + 1 + _MORE, n), relax)  # one more than k, as the query itself may be in it
+        last = -np.sort(-best, axis=1)[:, min(k, n - 1)] - SLACK
+        tied = (best.min(1) >= last) & (best.shape[1] < n)  # more of them may stand beyond what was kept
+        q, slot = np.nonzero((place >= 0) & (best >= last[:, None]) & ~tied[:, None])
+        leaf = place[q, slot]
+        if tied.any():
+            who = np.flatnonzero(tied)
+            more, found = self.tree.within(unit[who], last[who], relax)
+            q, leaf = np.concatenate([q, who[more]]), np.concatenate([leaf, found])
+        vector = self.leaf_order[leaf]
+        s = score(queries[q], self.distinct[vector])
+        take = np.minimum(np.diff(self.start)[vector], k + 1)  # of equal vectors the smallest ids count
+        rows = np.repeat(np.arange(len(q)), take)
+        nth = np.arange(len(rows)) - np.repeat(np.cumsum(take) - take, take)
+        found, query, s = self.ids[self.start[vector[rows]] + nth], query_ids[q[rows]], s[rows]
+        keep = found != query
+        found, query, s, which = found[keep], query[keep], s[keep], q[rows][keep]
+        order = np.lexsort((found, -s, which))
+        found, query, s, which = found[order], query[order], s[order], which[order]
+        begin = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]])) if len(which) else np.zeros(0, np.int64)
+        top = np.arange(len(which)) - np.repeat(begin, np.diff(np.append(begin, len(which)))) < k
+        return query[top], found[top], s[top]
+
+
+def _searcher(k: int, relax: float):
+    """Over a partition's rows, by shard and within it vectors before queries: a shard's vectors are held, queries stream by."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ids, rows, shard = None, [], [], None
+        for batch in batches:
+            key = np.stack([batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)], 1)
+            edges = np.flatnonzero(np.any(key[1:] != key[:-1], axis=1)) + 1
+            for lo, hi in zip([0, *edges], [*edges, len(key)], strict=True):
+                if lo == hi:
+                    continue
+                if at != tuple(key[lo, :2]):
+                    at, ids, rows, shard = tuple(key[lo, :2]), [], [], None
+                own, matrix = batch.column(3)[lo:hi].to_numpy(), _matrix(batch.column(4)[lo:hi])
+                if key[lo, 2] == 0:
+                    ids.append(own)
+                    rows.append(matrix)
+                elif rows:
+                    if shard is None:
+                        shard = _Shard(np.concatenate(ids), np.concatenate(rows))
+                    yield shard.nearest(own, matrix, k, relax)
 
     return search
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 5, relax: float = 4.0, shard_rows: int = 8192, block_bytes: int = 16 << 20) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 5, relax: float = 4.0, shard_bytes: int = 8 << 20) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k nearest rows of `vectors` but itself (by vec_id).
 
     score: cosine in double precision; equal scores by vec_id. Every valid row is indexed, in shards of about
-    `shard_rows` rows by a hash of the id; rows of another dimension than the query never meet it. Queries go to all shards in
-    blocks of about `block_bytes`, a pass over the shards each, so nothing broadcast grows with them. Fewer candidates
-    than k: all of them. Rows that repeat an id with another vector are candidates each. relax: 1 is exact; more prunes more.
+    `shard_bytes` of doubles by a hash of the id; rows of another dimension than the query never meet it. Each query is sent to each
+    shard of its dimension, where queries stream past the shard's tree; a task holds one shard and one batch of queries, nothing
+    passes the driver but a row for each dimension, and the plan has one size. Fewer candidates than k: all of them. Null, empty, zero
+    and non-finite vectors take no part; no rows give none. Rows that repeat an id with another vector are candidates each.
+    relax: 1 is exact; more prunes more.
     """
     spark = vectors.sparkSession
     valid = staged(valid_vectors(vectors).withColumn("dim", F.size("embedding")), "vectors")
     asked = valid_vectors(queries).withColumn("dim", F.size("embedding"))
-    shape = valid.groupBy("dim").agg(F.count("*").alias("n")).orderBy("dim").collect()  # a row a dimension
-    parts = []
-    for dim, n in shape:
-        n_shards = -(-n // shard_rows)
-        own = valid.filter(F.col("dim") == dim).select(F.pmod(F.xxhash64(F.lit("shard"), "vec_id"), F.lit(n_shards)).alias("shard"), "vec_id", "embedding")
-        wanted = asked.filter(F.col("dim") == dim).select("vec_id", "embedding")
-        n_blocks = -(-wanted.count() * dim * 8 // block_bytes)
-        for b in range(n_blocks):
-            block = wanted.filter(F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(n_blocks)) == b)
-            rows = list(block.toLocalIterator())  # about block_bytes
-            if not rows:
-                continue
-            shared = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in rows], np.int64), np.array([r["embedding"] for r in rows], np.float64)))
-
-            parts.append(own.groupBy("shard").applyInArrow(_searcher(shared, k, relax), _DDL))
-    if not parts:
-        parts = [spark.createDataFrame([], _DDL)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    shape = valid.groupBy("dim").agg(F.count("*").alias("n")).withColumn("shards", F.ceil(F.col("n") * F.col("dim") * 8 / shard_bytes).cast("int"))
+    shape = staged(shape, "shape")
+    total = shape.agg(F.coalesce(F.sum("shards"), F.lit(0))).first()[0]
+    if not total:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    sized = joinable(shape.select("dim", "shards"))
+    columns = ("dim", "shard", "kind", "vec_id", "embedding")
+    own = valid.join(sized, "dim").withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "vec_id"), F.col("shards")).cast("int")).withColumn("kind", F.lit(0))
+    sent = asked.join(sized, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).withColumn("kind", F.lit(1))
+    dealt = own.select(*columns).unionByName(sent.select(*columns)).repartition(total, "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
+    found = dealt.mapInArrow(_searcher(k, relax), _DDL)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return out.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
