@@ -2,38 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import discard, staged
+
 
 def fold(column: str, folds: int):
     """crc32 of the id as text, modulo the number of folds."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(folds)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, *, most: dict[int, int], longest: int = 1 << 14) -> dict[int, tuple[list[bytes], int]]:
+def sample(docs: DataFrame, labels: DataFrame, label: str, *, most: dict[int, int], most_bytes: int = 64 << 20) -> dict[int, tuple[list[bytes], int]]:
     """For each class: whole texts of at most most[class] labelled documents, and how many rows carry the class.
 
-    The sample is bounded by parameters: `most` rows a class, texts of at most
-    `longest` bytes. Which rows are taken follows a hash of the id, so reruns agree. Null
-    labels, ids and texts and labels outside `most` take no part.
+    The sample is bounded by parameters: `most` distinct texts a class, and no more once those taken have
+    `most_bytes` together; a text's length does not decide whether it is taken. Which are taken follows a
+    hash of the id, so reruns agree. Null labels, ids and texts, empty texts and labels outside `most` take no part; rows
+    that repeat an id and its text count once.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("mark")).dropna()
     marks = marks.filter(F.col("mark").isin(list(most)))
     totals = {r["mark"]: r["n"] for r in marks.groupBy("mark").agg(F.count("*").alias("n")).collect()}
-    order = F.xxhash64(F.lit("sample"), "doc_id")
-    # a third more ids than texts are wanted, as some texts are missing or too long
-    ids = [marks.filter(F.col("mark") == k).orderBy(order, "doc_id").limit(n + n // 3 + 8) for k, n in most.items()]
-    chosen = ids[0]
-    for x in ids[1:]:
-        chosen = chosen.unionByName(x)
-    size = F.octet_length("text")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen.distinct()), "doc_id").filter((size > 0) & (size <= longest))
-    out: dict[int, tuple[list[bytes], int]] = {}
-    got: dict[int, list[tuple[int, str]]] = {k: [] for k in most}
-    # the ids bound the rows: sum(most) * 4 / 3, of `longest` bytes each
-    for r in texts.select(order.alias("at"), "doc_id", "mark", "text").toLocalIterator():
-        got[r["mark"]].append((r["at"], r["text"]))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null and octet_length(text) > 0")
+    texts = texts.withColumn("digest", F.xxhash64("text"))
+    sized = texts.select("doc_id", "digest", F.octet_length("text").alias("size")).join(marks, "doc_id").groupBy("mark", "doc_id", "digest").agg(F.min("size").alias("size"))
+    order = [F.xxhash64(F.lit("sample"), "doc_id"), F.col("doc_id"), F.col("digest")]
+    sized = staged(sized, "labelled")
+    chosen = None
     for k, n in most.items():
-        out[k] = ([t.encode() for _, t in sorted(got[k])[:n]], totals.get(k, 0))
-    return out
+        own = sized.filter(F.col("mark") == k).orderBy(*order).limit(n)
+        before = F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))  # n rows at most
+        own = own.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < most_bytes).select("mark", "doc_id", "digest")
+        chosen = own if chosen is None else chosen.unionByName(own)
+    chosen = staged(chosen, "chosen")
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "digest"]).groupBy("mark", "doc_id", "digest").agg(F.first("text").alias("text"))
+    got: dict[int, list[tuple[int, int, int, str]]] = {k: [] for k in most}
+    # the chosen ids bound the rows
+    for r in rows.select(order[0].alias("at"), "doc_id", "digest", "mark", "text").toLocalIterator():
+        got[r["mark"]].append((r["at"], r["doc_id"], r["digest"], r["text"]))
+    discard(sized, chosen)
+    return {k: ([t.encode() for *_, t in sorted(got[k])], totals.get(k, 0)) for k in most}

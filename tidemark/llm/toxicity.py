@@ -126,12 +126,13 @@ def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8,
     return ToxicityModel(value.astype(np.float32), float(bias[1] - bias[0]))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, *, most: int = 1500, longest: int = 1 << 14) -> ToxicityModel:
-    """Fit on at most `most` toxic and 1.5 times as many clean texts of up to `longest` bytes, weighted to the labels' shares.
+def train_toxicity(docs: DataFrame, labels: DataFrame, *, most: int = 1500, most_bytes: int = 64 << 20) -> ToxicityModel:
+    """Fit on whole texts: at most `most` toxic and 1.5 times as many clean ones, each class of about `most_bytes`, weighted to the labels' shares.
 
-    With one class or none among the labels the score is constant.
+    With one class or none among the labels, or with empty tables, the score is constant. Rows without id, text or
+    label teach nothing; repeated rows teach once; further columns are not looked at.
     """
-    got = sample(docs, labels, "toxic", most={0: most * 3 // 2, 1: most}, longest=longest)
+    got = sample(docs, labels, "toxic", most={0: most * 3 // 2, 1: most}, most_bytes=most_bytes)
     (clean, n_clean), (toxic, n_toxic) = got[0], got[1]
     if not clean or not toxic:
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
@@ -152,7 +153,7 @@ def scores(texts: list[bytes], model: ToxicityModel) -> np.ndarray:
 
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:
-    """Probability that a whole text is toxic; null counts as empty."""
+    """Probability that a whole text is toxic; null counts as empty, equal texts score equally, and a text's length is not bounded."""
 
     @F.arrow_udf(DoubleType())
     def score(bodies: pa.Array) -> pa.Array:
