@@ -133,6 +133,15 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
+def windows_at(hashes: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
+    """As windows(), of those that start at the given words alone."""
+    factor = places(size)
+    out = np.zeros(len(at), np.uint64)
+    for k in range(size):
+        out += hashes[at + k] * factor[k]
+    return mix(out)
+
+
 def whole(hashes: np.ndarray) -> np.uint64:
     """Hash of a sequence of fewer words than a window has."""
     n = len(hashes)

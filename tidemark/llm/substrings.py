@@ -2,17 +2,18 @@
 
 Each text's non-overlapping blocks of half a window are the index; every rolling
 run of as many words, in every text, probes it. A window that repeats holds a whole block of its
-earlier place, so only windows around hits can repeat. These candidates are compared by
+earlier place, so only windows around hits can repeat. These candidates are compared by a 128-bit hash of
 their whole word sequence, and runs of repeated windows are the maximal exact repeats.
 
-Texts are dealt into chunks by a hash of their id. A chunk sends each distinct run once to
-the bucket of its hash, so what many texts share costs a row a chunk, not a row a place. The three
-passes over a chunk's texts read one and the same shuffle.
+Texts are dealt into chunks by a hash of their id. A chunk sends each distinct run once, as four bytes in
+the row for its bucket, so what all texts share costs a bucket four bytes a chunk. Buckets and partitions are as many as
+the bytes of the corpus ask for. The three passes over a chunk's texts read one and the same shuffle.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bytewords import BLANK_SPLIT, U64, windows, words
+from tidemark.llm.bytewords import BLANK_SPLIT, U64, windows, windows_at, words
 from tidemark.llm.common import blocks
 
 _LOW = U64(0xFFFFFFFF)
@@ -53,20 +54,20 @@ def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 class _Chunk:
-    """The named texts of a chunk by id: hashes of all words in a row, and whose they are."""
+    """The texts of a chunk by id: hashes of all words in a row, and whose they are."""
 
     def __init__(self, table: pa.Table):
-        table = table.filter(pc.is_valid(table["doc_id"]))
         table = table.take(pc.sort_indices(table, [("doc_id", "ascending")]))
         self.ids = table["doc_id"].to_numpy()
         self.body = table["body"].combine_chunks()
         self.body = self.body if isinstance(self.body, pa.Array) else pa.concat_arrays(self.body.chunks or [pa.array([], pa.binary())])
-        hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        hashes, second, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for _, _, buf, offsets in blocks(self.body):
             w = words(buf, offsets, BLANK_SPLIT)
             hashes.append(w.hashes)
+            second.append(w.second)
             counts.append(w.counts)
-        self.hashes, self.counts = np.concatenate(hashes), np.concatenate(counts)
+        self.hashes, self.second, self.counts = np.concatenate(hashes), np.concatenate(second), np.concatenate(counts)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
         self.text = np.repeat(np.arange(len(self.counts)), self.counts)
 
@@ -136,31 +137,57 @@ def _send_windows(table: pa.Table, hits: pa.Table, block: int, size: int, bucket
     at, h = c.runs(size)
     some = hit[at + size - block + 1] > hit[at]
     at, h = at[some], h[some]
-    h, first = np.unique(h, return_index=True)  # texts stand by id, so the first has the smallest
-    owner = c.ids[c.text[at[first]]]
+    more = windows_at(c.second, size, at)
+    order = np.lexsort((more, h))  # keeps the order of texts, which stand by id, so the first has the smallest
+    at, h, more = at[order], h[order], more[order]
+    first = _starts(h, more)
+    owner, h, more = c.ids[c.text[at[first]]], h[first], more[first]
     bucket = (h >> U64(33)) % U64(buckets)
     order = np.argsort(bucket, kind="stable")
-    bucket, h, owner = bucket[order], h[order], owner[order]
+    bucket, h, more, owner = bucket[order], h[order], more[order], owner[order]
     bucket, first = np.unique(bucket, return_index=True)
     ends = np.append(first, len(h))
     chunk = table["chunk"][0].as_py()
-    return pa.table({"bucket": bucket.astype(np.int64), "chunk": np.full(len(bucket), chunk, np.int64), "windows": _binary(h, ends), "owners": _binary(owner.astype(np.int64), ends)})
+    return pa.table(
+        {"bucket": bucket.astype(np.int64), "chunk": np.full(len(bucket), chunk, np.int64), "windows": _binary(h, ends), "more": _binary(more, ends), "owners": _binary(owner.astype(np.int64), ends)}
+    )
+
 
+_NO_WINDOWS = pa.table({"bucket": pa.array([], pa.int64()), "chunk": pa.array([], pa.int64()), **{k: pa.array([], pa.binary()) for k in ("windows", "more", "owners")}})
 
-_NO_WINDOWS = pa.table({"bucket": pa.array([], pa.int64()), "chunk": pa.array([], pa.int64()), "windows": pa.array([], pa.binary()), "owners": pa.array([], pa.binary())})
+
+def _starts(*sorted_by: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    n = len(sorted_by[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = np.any([x[1:] != x[:-1] for x in sorted_by], axis=0)
+    return np.flatnonzero(new)
 
 
 def _later_windows(table: pa.Table) -> pa.Table:
     """Of one bucket: for each chunk its windows that a smaller id in another chunk has."""
-    h, owner = _joined(table["windows"], np.uint64), _joined(table["owners"], np.int64)
+    h, more, owner = _joined(table["windows"], np.uint64), _joined(table["more"], np.uint64), _joined(table["owners"], np.int64)
     n = np.array([len(x.as_py()) // 8 for x in table["windows"]], np.int64)
     row = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((owner, h))
-    again = np.zeros(len(h), bool)
-    again[1:] = h[order][1:] == h[order][:-1]
+    order = np.lexsort((owner, more, h))
+    again = np.ones(len(h), bool)
+    again[_starts(h[order], more[order])] = False
     later = np.sort(order[again])
     rows, first = np.unique(row[later], return_index=True)
-    return pa.table({"chunk": table["chunk"].to_numpy()[rows], "windows": _binary(h[later], np.append(first, len(later)))})
+    ends = np.append(first, len(later))
+    return pa.table({"chunk": table["chunk"].to_numpy()[rows], "windows": _binary(h[later], ends), "more": _binary(more[later], ends)})
+
+
+def _among(h: np.ndarray, more: np.ndarray, known: np.ndarray, known_more: np.ndarray) -> np.ndarray:
+    """Which (h, more) are among the known pairs."""
+    n = len(h)
+    one, other = np.concatenate([known, h]), np.concatenate([known_more, more])
+    order = np.lexsort((other, one))
+    start = _starts(one[order], other[order])
+    group = np.zeros(len(one), np.int64)
+    group[order] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(one))))
+    return np.isin(group[len(one) - n :], group[: len(one) - n])
 
 
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
@@ -172,7 +199,10 @@ def _cut(table: pa.Table, later: pa.Table, size: int) -> pa.Table:
         return _NO_TEXTS
     c = _Chunk(table)
     at, h = c.runs(size)
-    again = _within(h, np.sort(_joined(later["windows"], np.uint64)))
+    again = np.zeros(len(h), bool)
+    known = _joined(later["windows"], np.uint64)
+    here = np.flatnonzero(_within(h, np.sort(known)))
+    again[here] = _among(h[here], windows_at(c.second, size, at[here]), known, _joined(later["more"], np.uint64))
     ordered = np.sort(h)
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     here = np.flatnonzero(_within(h, twice))
@@ -180,8 +210,9 @@ def _cut(table: pa.Table, later: pa.Table, size: int) -> pa.Table:
         rank = np.unique(c.ids, return_inverse=True)[1]
         text = c.text[at[here]]
         place = rank[text] << 32 | (at[here] - c.first[text])
-        order = np.argsort(h[here], kind="stable")
-        start = np.flatnonzero(np.concatenate([[True], np.diff(h[here][order]) != 0]))
+        more = windows_at(c.second, size, at[here])
+        order = np.lexsort((more, h[here]))
+        start = _starts(h[here][order], more[order])
         least = np.repeat(np.minimum.reduceat(place[order], start), np.diff(np.append(start, len(order))))
         again[here[order]] |= place[order] > least
     step = np.zeros(len(c.hashes) + 1, np.int64)
@@ -189,7 +220,7 @@ def _cut(table: pa.Table, later: pa.Table, size: int) -> pa.Table:
     np.add.at(step, at[again] + size, -1)
     gone = np.cumsum(step)[:-1] > 0
     removed = np.add.reduceat(np.append(gone, False).astype(np.int64), c.first[:-1]) * (c.counts > 0) if len(c.ids) else np.zeros(0, np.int64)
-    digest, spans, kept = [], [], []
+    digest, spans = [], []
     for lo, hi, buf, offsets in blocks(c.body):
         raw = buf.tobytes()
         for i in range(lo, hi):
@@ -200,49 +231,46 @@ def _cut(table: pa.Table, later: pa.Table, size: int) -> pa.Table:
             if len(edge):
                 own = [own[k] for k in np.flatnonzero(~mask)]
             digest.append(hashlib.sha256(b" ".join(own)).hexdigest())
-    nameless = table.filter(pc.is_null(table["doc_id"]))["body"]
-    for body in nameless:
-        own = body.as_py().split()
-        kept.append(len(own))
-        digest.append(hashlib.sha256(b" ".join(own)).hexdigest())
-        spans.append([])
-    return pa.table(
-        {
-            "doc_id": pa.concat_arrays([pa.array(c.ids, pa.int64()), pa.nulls(len(kept), pa.int64())]),
-            "n_words": np.concatenate([c.counts, np.array(kept, np.int64)]),
-            "n_removed": np.concatenate([removed, np.zeros(len(kept), np.int64)]),
-            "kept_sha256": pa.array(digest, pa.string()),
-            "removed": pa.array(spans, _SPANS),
-        }
-    )
+    return pa.table({"doc_id": pa.array(c.ids, pa.int64()), "n_words": c.counts, "n_removed": removed, "kept_sha256": pa.array(digest, pa.string()), "removed": pa.array(spans, _SPANS)})
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts that lose nothing."""
+    for batch in batches:
+        split = [body.as_py().split() for body in batch.column(0)]
+        none = pa.array([0] * len(split), pa.int64())
+        digest = pa.array([hashlib.sha256(b" ".join(own)).hexdigest() for own in split], pa.string())
+        columns = [pa.nulls(len(split), pa.int64()), pa.array([len(own) for own in split], pa.int64()), none, digest, pa.array([[]] * len(split), _SPANS)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "removed"])
 
 
 _NO_TEXTS = pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept_sha256": pa.array([], pa.string()), "removed": pa.array([], _SPANS)})
 _DDL = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<first: long, past: long>>"
 
 
-def repeated_spans(docs: DataFrame, *, window: int = 20, chunk_bytes: int = 4 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, window: int = 20, chunk_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """What exact repeats of `window` words cover: doc_id, n_words, n_removed, kept_sha256, removed (word spans).
 
     A word (`[^\\x20\\x09-\\x0D]+`) goes if a window over it has a word sequence that also starts earlier: in a
     smaller doc_id, or in its own document before. Windows are judged on the input; word sequences are
-    equal if their 64-bit hashes are. removed: maximal repeats, in words from 0, ends exclusive. kept_sha256: of the words
+    equal if their 128-bit hashes are. removed: maximal repeats, in words from 0, ends exclusive. kept_sha256: of the words
     left, joined by blanks.
 
-    Chunks hold about `chunk_bytes` of text, and there are as many buckets as chunks, so a task's
-    memory stays as the corpus grows. Null and empty texts have no words. Texts with a null doc_id have no
-    order: they lose nothing and are no earlier place. Rows that share a doc_id are one document's: equal
-    starts of theirs don't remove each other.
+    Chunks hold about `chunk_bytes` of text and a bucket gets the runs of about `bucket_bytes`; partitions are as many as
+    these need, so a task's memory stays as the corpus grows. Null and empty texts have no words. Texts with a null doc_id have no
+    order: they lose nothing, are no earlier place, and are not shuffled. Rows that share a doc_id are one document's: equal
+    starts of theirs don't remove each other. Repeated rows each give a row; no rows give none; further columns are not looked at.
     """
     block = (window + 1) // 2
-    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = 1 + total // chunk_bytes
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64(F.col("doc_id").cast("long")))
-    dealt = docs.select(F.pmod(key, F.lit(n)).alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"))
-
-    runs = dealt.groupBy("chunk").applyInArrow(lambda t: _send_runs(t, block, n), "bucket long, chunk long, n0 long, n1 long, n2 long, n3 long, runs binary")
-    hits = runs.groupBy("bucket").applyInArrow(_hit_runs, "chunk long, bucket long, runs binary")
-    found = dealt.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(lambda a, b: _send_windows(a, b, block, window, n), "bucket long, chunk long, windows binary, owners binary")
-    later = found.groupBy("bucket").applyInArrow(_later_windows, "chunk long, windows binary")
-    return dealt.groupBy("chunk").cogroup(later.groupBy("chunk")).applyInArrow(lambda a, b: _cut(a, b, window), _DDL)
+    n, buckets, parts = 1 + total // chunk_bytes, 1 + total // bucket_bytes, 1 + total // (8 * chunk_bytes)
+    doc_id = F.col("doc_id").cast("long")
+    dealt = docs.filter(doc_id.isNotNull()).select(F.pmod(F.xxhash64(doc_id), F.lit(n)).alias("chunk"), doc_id.alias("doc_id"), body).repartition(parts, "chunk")
+
+    runs = dealt.groupBy("chunk").applyInArrow(lambda t: _send_runs(t, block, buckets), "bucket long, chunk long, n0 long, n1 long, n2 long, n3 long, runs binary")
+    hits = runs.repartition(1 + buckets // 2, "bucket").groupBy("bucket").applyInArrow(_hit_runs, "chunk long, bucket long, runs binary")
+    found = dealt.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(lambda a, b: _send_windows(a, b, block, window, buckets), "bucket long, chunk long, windows binary, more binary, owners binary")
+    later = found.groupBy("bucket").applyInArrow(_later_windows, "chunk long, windows binary, more binary")
+    named = dealt.groupBy("chunk").cogroup(later.groupBy("chunk")).applyInArrow(lambda a, b: _cut(a, b, window), _DDL)
+    return named.unionByName(docs.filter(doc_id.isNull()).select(body).mapInArrow(_whole, _DDL))
