@@ -73,12 +73,13 @@ def row_key(docs: DataFrame) -> Column:
 SMALL = 100_000  # rows of a few numbers that may be broadcast
 
 
-def joinable(table: DataFrame, most: int = SMALL) -> DataFrame:
+def joinable(table: DataFrame, most: int = SMALL, otherwise: str = "merge") -> DataFrame:
     """A staged table as the right side of a join: broadcast if it has at most `most` rows, else joined by a shuffle.
 
-    Rows are counted, as the size of a compressed file bounds no memory.
+    Rows are counted, as the size of a compressed file bounds no memory. otherwise: "merge", or "shuffle_hash" where
+    the left side is too wide to sort and the table's rows are narrow.
     """
-    return F.broadcast(table) if table.count() <= most else table.hint("shuffle_hash")
+    return F.broadcast(table) if table.count() <= most else table.hint(otherwise)
 
 
 def id_text(docs: DataFrame) -> DataFrame:

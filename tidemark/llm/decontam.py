@@ -178,4 +178,4 @@ def covered(hits: str) -> Column:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 10) -> DataFrame:
     """docs without those that hold a window of an item; rows (null, empty and repeated ones too) and columns of the others as they were."""
     gone = staged(_found(docs, benchmark, window).filter(F.size("hits") > 0).select(F.col("key").alias("_gone")).distinct(), "contaminated")
-    return docs.join(joinable(gone), row_key(docs) == gone["_gone"], "left_anti")
+    return docs.join(joinable(gone, otherwise="shuffle_hash"), row_key(docs) == gone["_gone"], "left_anti")

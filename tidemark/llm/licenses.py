@@ -82,7 +82,7 @@ FAMILIES: dict[str, tuple[str, str, str, str]] = {
 
 #: Sentences of the licences themselves, and notices: label, priority, keywords, pattern.
 SENTENCES = (
-    ("mit", 90, ("permission is hereby granted", "without restriction"), r"permission is hereby granted free of charge to any person obtaining a copy .{0,80}?without restriction"),
+    ("mit", 90, ("permission is hereby granted", "without restriction"), r"permission is hereby granted free of charge to any person obtaining a copy .{0,160}?without restriction"),
     ("isc", 90, ("permission to use copy modify",), r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("apache", 90, ("terms and conditions for use reproduction",), r"terms and conditions for use reproduction and distribution"),
     ("apache", 85, ("you may not use this file except in compliance",), r"you may not use this file except in compliance with the license"),
@@ -104,9 +104,98 @@ SENTENCES = (
 )
 
 
+#: More sentences, written out: bodies, headers, exceptions, dual licences, notices. label, priority, keywords, pattern.
+NOTICES = (
+    # bodies
+    ("mit", 88, ("above copyright notice and this permission notice",), r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", 80, ("in no event shall the authors or copyright holders",), r"in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("mit-0", 92, ("permission is hereby granted", "deal in the software"), r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction .{0,120}?to permit persons to whom the software is furnished to do so the software is provided"),
+    ("x11", 86, ("x consortium",), r"except as contained in this notice the name of the x consortium shall not be used in advertising"),
+    ("isc", 82, ("disclaims all warranties with regard to this software",), r"the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("bsd", 80, ("retain the above copyright notice",), r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", 80, ("reproduce the above copyright notice",), r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", 78, ("provided by the copyright holders and contributors",), r"this software is provided by the copyright holders and contributors as is and any express or implied warranties"),
+    ("bsd", 78, ("provided by the regents and contributors",), r"this software is provided by the regents and contributors as is"),
+    ("bsd-4", 89, ("advertising materials",), r"all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("bsd-3-clear", 89, ("no express or implied licenses to any party",), r"no express or implied licenses to any party s patent rights are granted by this license"),
+    ("apache", 84, ("unless required by applicable law",), r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache", 86, ("grant of patent license",), r"grant of patent license subject to the terms and conditions of this license each contributor hereby grants"),
+    ("apache", 83, ("contributor license agreements",), r"licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache-1.1", 87, ("apache software foundation", "acknowledgment"), r"this product includes software developed by the apache software foundation http www apache org"),
+    ("gpl", 88, ("freedom to share and change it",), r"the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl", 86, ("everyone is permitted to copy and distribute verbatim copies",), r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("gpl", 84, ("you should have received a copy of the gnu general public license",), r"you should have received a copy of the gnu general public license along with"),
+    ("lgpl", 86, ("you should have received a copy of the gnu lesser general public license",), r"you should have received a copy of the gnu lesser general public license along with"),
+    ("lgpl", 86, ("you should have received a copy of the gnu library general public license",), r"you should have received a copy of the gnu library general public license along with"),
+    ("agpl", 86, ("you should have received a copy of the gnu affero general public license",), r"you should have received a copy of the gnu affero general public license along with"),
+    ("agpl", 87, ("remote network interaction",), r"remote network interaction use with the gnu general public license"),
+    ("gpl-or-later", 92, ("or at your option any later version",), r"either version [123](?: 0)? of the license or at your option any later version"),
+    ("gpl-only", 90, ("version 2 as published by the free software foundation",), r"gnu general public license version 2 as published by the free software foundation(?! either)"),
+    ("fdl", 88, ("invariant sections",), r"with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl", 88, ("if a copy of the mpl was not distributed",), r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", 89, ("the contents of this file are subject to the mozilla public license",), r"the contents of this file are subject to the mozilla public license version 1 1 the license you may not use this file except in compliance"),
+    ("mpl", 84, ("incompatible with secondary licenses",), r"this source code form is incompatible with secondary licenses as defined by the mozilla public license"),
+    ("cddl", 88, ("common development and distribution license",), r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("epl", 88, ("eclipse public license", "recipient s acceptance"), r"any use reproduction or distribution of the program constitutes recipient s acceptance of this agreement"),
+    ("artistic", 88, ("under the same terms as perl itself",), r"(?:you can|may) redistribute it and or modify it under the same terms as perl itself"),
+    ("zlib", 86, ("altered source versions must be plainly marked",), r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("libpng", 89, ("libpng versions",), r"(?:this code is released under the libpng license|libpng versions 1 [0-9] [0-9]{1,2} .{0,120}?are copyright)"),
+    ("boost", 88, ("machine executable object code",), r"copies or derivative works are solely in the form of machine executable object code generated by a source language processor"),
+    ("unlicense", 88, ("anyone is free to copy modify publish",), r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", 88, ("you just do what the fuck you want to",), r"you just do what the fuck you want to"),
+    ("beerware", 88, ("buy me a beer",), r"if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
+    ("cc0", 88, ("waived all copyright and related",), r"(?:has|have) waived all copyright and related or neighboring rights to"),
+    ("cc-by", 84, ("creative commons attribution",), r"this work is licensed under (?:a|the) creative commons attribution [1234] [05] (?:international|unported|generic)"),
+    ("cc-by-sa", 85, ("creative commons attribution share",), r"this work is licensed under (?:a|the) creative commons attribution share ?alike [1234] [05] (?:international|unported|generic)"),
+    ("cc-by-nc", 85, ("creative commons attribution non",), r"this work is licensed under (?:a|the) creative commons attribution non ?commercial [1234] [05] (?:international|unported|generic)"),
+    ("ofl", 88, ("font software", "sil open font license"), r"this font software is licensed under the sil open font license version 1 1"),
+    ("psf", 88, ("python software foundation license version",), r"psf is making python available to licensee on an as is basis|python software foundation license version [12]"),
+    ("openssl", 88, ("openssl toolkit",), r"this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("curl", 88, ("permission to use copy modify and distribute this software",), r"permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("hpnd", 84, ("without written prior permission",), r"be used in advertising or publicity pertaining to distribution of the software without (?:specific )?written prior permission"),
+    ("ncsa", 88, ("university of illinois", "contributors may be used"), r"neither the names of .{1,120}? nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("unicode", 88, ("unicode data files",), r"obtaining a copy of the unicode data files and any associated documentation"),
+    ("ijg", 88, ("independent jpeg group",), r"this software is based in part on the work of the independent jpeg group"),
+    ("json", 90, ("shall be used for good not evil",), r"the software shall be used for good not evil"),
+    ("sspl", 88, ("server side public license",), r"if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("busl", 88, ("change date", "business source"), r"effective on the change date or the fourth anniversary of the first publicly available distribution"),
+    ("elastic", 88, ("hosted or managed service",), r"you may not provide the software to third parties as a hosted or managed service"),
+    ("commons-clause", 90, ("commons clause",), r"the grant of rights under the license will not include and the license does not grant to you the right to sell the software"),
+    # exceptions
+    ("classpath-exception", 93, ("as a special exception",), r"as a special exception the copyright holders of this library give you permission to link this library with independent modules"),
+    ("autoconf-exception", 93, ("as a special exception", "autoconf"), r"as a special exception the (?:free software foundation|respective autoconf macro s copyright owner) gives unlimited permission to copy distribute and modify"),
+    ("bison-exception", 93, ("as a special exception", "bison"), r"as a special exception you may create a larger work that contains part or all of the bison parser skeleton"),
+    ("openssl-exception", 93, ("as a special exception", "openssl"), r"as a special exception .{0,80}?give permission to link the code of .{0,80}?with the openssl library"),
+    ("runtime-exception", 93, ("runtime library exception",), r"gcc runtime library exception version 3 1"),
+    ("llvm-exception", 93, ("llvm exceptions",), r"(?:apache license v?2 0|apache 2 0) with llvm exceptions?"),
+    ("font-exception", 93, ("as a special exception", "font"), r"as a special exception if you create a document which uses this font and embed this font"),
+    # dual licences and choices
+    ("dual", 94, ("dual licensed",), r"dual licensed under (?:the )?.{1,60}? (?:and|or) (?:the )?.{1,60}? licen[cs]es?"),
+    ("dual", 94, ("at your option",), r"licensed under either of .{1,160}? at your option"),
+    ("dual", 94, ("alternatively",), r"alternatively (?:the contents of this file|this software|you) may be (?:used|distributed) under the terms of (?:either )?the gnu (?:lesser )?general public license"),
+    ("dual", 92, ("disjunctive",), r"distributed under a disjunctive (?:dual|tri) licen[cs]e"),
+    # notices
+    ("proprietary", 70, ("trade secret",), r"(?:this file contains|is the) (?:proprietary|confidential) (?:and trade secret )?information"),
+    ("proprietary", 70, ("unauthorized copying",), r"unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", 70, ("no part of this",), r"no part of this (?:publication|document|book|work|software) may be reproduced"),
+    ("proprietary", 68, ("for internal use only",), r"for internal use only"),
+    ("evaluation", 70, ("evaluation purposes only",), r"for evaluation purposes only"),
+    ("non-commercial", 72, ("commercial",), r"for (?:personal and )?non ?commercial use only"),
+    ("freeware", 66, ("freeware",), r"(?:is|as) freeware"),
+    ("shareware", 66, ("shareware",), r"(?:is|as) shareware"),
+    ("see-license", 40, ("see", "licen"), r"see (?:the )?(?:accompanying |included )?(?:licen[cs]e|copying|notice)(?: txt| md| rst)? (?:file|for (?:more )?(?:details|information|terms))"),
+    ("see-license", 38, ("license", "root"), r"found in the licen[cs]e file in the root directory of this source tree"),
+    ("permission", 45, ("used with permission",), r"(?:re)?(?:printed|produced|used) (?:with|by) permission"),
+    ("copyleft", 35, ("copyleft",), r"copyleft"),
+    ("no-warranty", 33, ("without warranty of any kind",), r"provided as is without warrant(?:y|ies) of any kind"),
+    ("trademark", 32, ("registered trademark",), r"(?:is|are) (?:a )?registered trademarks? of"),
+    ("copyright", 31, ("portions copyright",), r"portions copyright(?: c| by)?"),
+)
+
+
 def rules() -> list[Rule]:
-    """Every rule, highest priority first: sentences, tags, addresses, grants, names."""
-    out = [Rule(label, p, keys, pattern) for label, p, keys, pattern in SENTENCES]
+    """Every rule, highest priority first: sentences and notices one by one; for each family its tag, address, grant and names."""
+    out = [Rule(label, p, keys, pattern) for label, p, keys, pattern in (*SENTENCES, *NOTICES)]
     for label, (name, tag, address, key) in FAMILIES.items():
         root = ("licen", *([key] if len(key) > 2 else []))
         first = re.match(r"[a-z0-9]+", address)[0]
@@ -217,7 +306,10 @@ def scan_licenses(docs: DataFrame, given: list[Rule] | None = None) -> DataFrame
 
 
 def license_report(scanned: DataFrame) -> DataFrame:
-    """The digest of scan_licenses: base counts and labels, all labels, and a score (highest priority / 100)."""
+    """The digest of scan_licenses: base counts and labels, all labels, and a score (highest priority / 100).
+
+    A row for each row of `scanned`; texts without detections have empty labels, null places and score 0. No rows: no rows.
+    """
     base = F.array_sort(F.array_distinct(F.col("base.label")))
     every = F.array_sort(F.array_union(F.col("base.label"), F.col("spans.label")))
     best = F.greatest(F.coalesce(F.array_max("spans.priority"), F.lit(0)), F.when(F.size("base") > 0, 60).otherwise(0))

@@ -13,11 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import discard, staged
 
 STEPS = 5  # Newton steps between two staged states
 PHASES = 32  # ways to round a source's rates, of which the one nearest its target is taken
 CELL = 256  # documents of one source and size that are ranked together
+FEW = 50_000  # rows of a few numbers that may be broadcast: counted, as the size of a compressed file bounds no memory
+SALTS = 16  # parts in which a source and size meets its documents where cells are not few
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
@@ -58,11 +60,16 @@ def _rate(most: float) -> Column:
 _STATE = ("s", "mean", "full", "target", "multiplier", "lo", "hi")
 
 
-def _newton(cells: DataFrame, state: DataFrame, most: float) -> DataFrame:
+def _side(table: DataFrame, rows: int) -> DataFrame:
+    """A table of so many rows as the right side of a join: broadcast if they are few, else joined by a shuffle."""
+    return F.broadcast(table) if rows <= FEW else table.hint("merge")
+
+
+def _newton(cells: DataFrame, state: DataFrame, most: float, sources: int) -> DataFrame:
     """One step for every source; lo and hi bracket the multiplier. A state is read once, so steps chain in a line."""
     w = _rate(most)
     mass = F.col("n") * F.col("size")
-    both = cells.join(state.select(*_STATE), F.col("source").eqNullSafe(F.col("s"))).groupBy(*_STATE).agg(
+    both = cells.join(_side(state.select(*_STATE), sources), F.col("source").eqNullSafe(F.col("s"))).groupBy(*_STATE).agg(
         F.sum(mass * w).alias("words"), F.sum(mass * F.col("size") / F.col("mean") * w * (1 - w / most)).alias("slope")
     )
     off = F.col("words") - F.col("target")
@@ -86,7 +93,8 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), shar
 
     A row for each row of docs; null texts have size 0 and are never taken beyond it (0 words); a null source
     is a source of its own, last in order; null and repeated ids are rows like others. No rows: no rows. Equal runs give
-    equal results: ties within a source and size follow a hash of the id.
+    equal results: ties within a source and size follow a hash of the id. Very long texts are counted whole; further columns
+    are not looked at.
     """
     sized = staged(document_sizes(docs), "sizes")
     cells = staged(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
@@ -94,14 +102,15 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), shar
     state = targets.select(
         F.col("source").alias("s"), "mean", "full", "target", F.lit(0.0).alias("multiplier"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"), F.lit(1.0).alias("miss")
     )
+    sources = targets.count()
     for _ in range(rounds):
         for _ in range(STEPS):
-            state = _newton(cells.select("source", "size", "n"), state, float(most))
+            state = _newton(cells.select("source", "size", "n"), state, float(most), sources)
         state = staged(state, "multipliers")
         worst = state.agg(F.max("miss")).first()[0]
         if worst is None or worst <= close:
             break
-    rated = cells.join(state.select("s", "mean", "full", "multiplier"), F.col("source").eqNullSafe(F.col("s"))).withColumn("rate", _rate(float(most))).select("source", "size", "n", "rate")
+    rated = cells.join(_side(state.select("s", "mean", "full", "multiplier"), sources), F.col("source").eqNullSafe(F.col("s"))).withColumn("rate", _rate(float(most))).select("source", "size", "n", "rate")
     # copies of a cell: whole steps of the running sum of rates, by size; of a few phases the one nearest the target
     run = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rated = rated.withColumn("upto", F.sum(F.col("n") * F.col("rate")).over(run))
@@ -113,15 +122,22 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), shar
 
     phases = [(i + 0.5) / PHASES for i in range(PHASES)]
     tried = rated.groupBy("source").agg(*[F.sum(F.col("size") * whole(F.lit(p))).alias(f"t{i}") for i, p in enumerate(phases)])
-    tried = tried.join(targets.select(F.col("source").alias("s"), "target"), F.col("source").eqNullSafe(F.col("s")))
+    tried = tried.join(_side(targets.select(F.col("source").alias("s"), "target"), sources), F.col("source").eqNullSafe(F.col("s")))
     nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{i}") - F.col("target")).alias("miss"), F.lit(p).alias("phase")) for i, p in enumerate(phases)]))
     tried = tried.select("s", nearest["phase"].alias("phase"))
-    rated = rated.join(tried, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("copies_all", whole(F.col("phase")))
+    rated = rated.join(_side(tried, sources), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("copies_all", whole(F.col("phase")))
     rated = staged(rated.select(F.col("source").alias("s"), F.col("size").alias("z"), "n", "rate", "copies_all", F.ceil(F.col("n") / CELL).cast("long").alias("parts")), "cells")
 
     # large cells are ranked in parts, whose shares add up to the cell's copies
     hashed = F.xxhash64(F.lit("mix"), "doc_id")
-    own = sized.join(rated, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).drop("s", "z").withColumn("part", F.pmod(hashed, F.col("parts")))
+    own = sized.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "doc_id"), F.lit(SALTS)))
+    if rated.count() <= FEW:
+        met = F.broadcast(rated.withColumn("y", F.lit(None).cast("long")))
+        own = own.join(met, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
+    else:
+        met = rated.withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).hint("merge")
+        own = own.join(met, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("salt") == F.col("y")))
+    own = own.drop("s", "z", "y", "salt").withColumn("part", F.pmod(hashed, F.col("parts")))
     split = own.filter("parts > 1").groupBy("source", "size", "part").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("copies_all").alias("copies_all"))
     upto = F.sum("k").over(Window.partitionBy("source", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     split = split.withColumn("upto", upto).select(
@@ -129,11 +145,11 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5, 2, 1), shar
         F.expr("(copies_all * upto) div n - (copies_all * (upto - k)) div n").alias("copies_part"),
     )
     small = own.filter("parts = 1").withColumn("k", F.col("n")).withColumn("copies_part", F.col("copies_all"))
-    large = own.filter("parts > 1").join(split, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("part") == F.col("p"))).drop("s", "z", "p")
+    large = own.filter("parts > 1").join(split.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("part") == F.col("p"))).drop("s", "z", "p")
     place = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy(F.xxhash64(F.lit("place"), "doc_id"), "doc_id"))
     ranked = small.unionByName(large).withColumn("place", place)
     copies = F.expr("copies_part div k + if(place <= copies_part % k, 1, 0)")
     ranked = ranked.withColumn("copies", copies).select("doc_id", "source", "size", "rate", "copies")
     back = targets.select(F.col("source").alias("s"), "source_size", "target")
-    out = ranked.join(back, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    out = ranked.join(_side(back, sources), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))

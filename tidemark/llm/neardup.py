@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from tidemark.llm.bytewords import BLANK_SPLIT_FOLDED, U64, mix, whole, windows, words
-from tidemark.llm.common import blocks, discard, id_text, staged
+from tidemark.llm.common import blocks, discard, id_text, joinable, staged
 from tidemark.llm.graph import components
 
 
@@ -172,16 +172,16 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     able = staged(able.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent).select("rep", "n", "own", F.struct((F.col("own") / F.col("n")).alias("share"), "rep").alias("order")), "able")
 
     # leads stand in tables of their own, so that the join with a hot bucket's members can be split
-    met = staged(keyed.join(able, "rep"), "members")
+    met = staged(keyed.join(joinable(able), "rep"), "members")
     first = F.min(F.struct("order", "rep", "n", "own")).alias("l")
     lead = staged(met.groupBy("key").agg(first, F.count("*").alias("size")).filter("size > 1").drop("size"), "leads")
-    shared = met.join(lead, "key")
+    shared = met.join(joinable(lead), "key")
     others = shared.filter("rep <> l.rep")
     pairs = others.filter(_may_link("n", "own", "l.n", "l.own", percent)).select(F.col("l.rep").alias("lead"), F.col("rep").alias("member")).distinct()
     comp = staged(components(_confirmed(pairs, sets, percent)), "components")
 
     # the lead has been compared with all in its bucket; if the others are of several components, they meet once more, by the tokens that a link must share
-    of_rep = able.select("rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    of_rep = able.select("rep", "n").join(joinable(comp).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     others = others.select("key", "rep")
     mixed = others.join(of_rep, "rep").groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
     left_open = staged(others.join(mixed.select("key"), "key", "left_semi").select("rep").distinct().join(of_rep, "rep"), "open")
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
         lo, hi = hi, hi * 8
     discard(member, sets, able, left_open)
 
-    of = reps.select("digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    of = reps.select("digest", "rep").join(joinable(comp).withColumnRenamed("node", "rep"), "rep", "left")
     of = of.select("digest", F.coalesce("component", "rep").alias("component_id"))
     linked = named.select("doc_id", "n_shingles", "digest").join(of, "digest").select("doc_id", "n_shingles", "component_id")
     alone = sig.filter(F.col("digest").isNull() | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

@@ -21,45 +21,89 @@ def _scored(docs: DataFrame, score, held_out) -> DataFrame:
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by two dictionaries learnt from the labels that are not held out.
+
+    Null and empty texts get the score of no difference; a null id is never held out; rows that repeat an id or a text each get a
+    row and equal texts equal scores; long texts count whole; empty tables give no rows; further columns are not looked at.
+    """
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = quality.train_quality(docs, labels.filter(fold("doc_id", 3) != 1))
     return _scored(docs, quality.quality_score(model, F.col("text")), fold("doc_id", 3) == 1)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The length histogram of all documents with its suffix sums, a row for each length that occurs.
+
+    Null and empty texts have 0 tokens; ids are not looked at, so repeated rows count each; long texts count whole; no rows give none.
+    """
     with open(tokencount.VOCABULARY, "rb") as f:  # a fixed file of the driver's
         vocabulary = f.read()
     return tokencount.suffix_sums(tokencount.length_histogram(read_table(spark, sf_dir, "documents"), vocabulary))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and detections of every document.
+
+    Null and empty texts have no words, no places, empty labels and score 0; null and repeated ids and repeated rows each give a
+    row; long texts are read whole; no rows give none; further columns are not looked at.
+    """
     return licenses.license_report(licenses.scan_licenses(read_table(spark, sf_dir, "documents")))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near duplicates at 85%.
+
+    Null, empty and blank texts are linked with nothing and kept; a null id has a null component and is kept; rows of one id are one
+    document, each with a row; of a group the smallest id stays; long texts count whole; no rows give none.
+    """
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of each whose id is divisible by 50.
+
+    Null ids and null, empty, zero or non-finite vectors take no part; ties go by id; rows that repeat an id with another
+    vector are candidates each; no rows give none; further columns are not looked at.
+    """
     vectors = read_table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the windows of 20 words that start earlier too.
+
+    Null and empty texts have no words; a null id loses nothing and is no earlier place; rows of one id are one document; ties go
+    by id and start; long texts count whole; no rows give none; further columns are not looked at.
+    """
     return substrings.repeated_spans(read_table(spark, sf_dir, "documents"), window=20).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document.
+
+    Null and empty texts have none; null and repeated ids and repeated rows each give a row; spans of one start go by the order of
+    kinds; long texts are read whole; no rows give none; further columns are not looked at.
+    """
     return secrets.secret_report(read_table(spark, sf_dir, "documents"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model learnt from the labels that are not held out.
+
+    Null and empty texts get the model's offset; a null id is never held out; repeated rows each get a row and equal texts equal
+    scores; long texts count whole; empty tables give no rows; further columns are not looked at.
+    """
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.train_toxicity(docs, labels.filter(fold("doc_id", 5) != 0))
     return _scored(docs, toxicity.toxicity_score(model, F.col("text")), fold("doc_id", 5) == 0)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of every document that stand in windows of benchmark items.
+
+    Null and empty texts have no words; items without words or id take no part; null and repeated ids and repeated rows each give a
+    row; long texts count whole; no rows give none; further columns are not looked at.
+    """
     found = decontam.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10)
     n_hit = decontam.covered("hits")
     return found.select(
@@ -73,6 +117,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes.
+
+    Null and empty texts have size 0; a null source is one of its own; null and repeated ids and repeated rows are rows like others,
+    ties between them go by a hash of the id; no rows give none; further columns are not looked at.
+    """
     return mixing.mix_sources(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 

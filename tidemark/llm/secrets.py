@@ -231,7 +231,7 @@ def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, column:
         index = staged(posting_lists(docs.select(named.alias("key"), text.alias("body")), rules), "postings")
         left = staged(candidates(index, rules).select(F.col("key").alias(key), F.col("rules").alias(may)), "candidates")
         discard(index)
-        out = out.join(joinable(left), key, "left")
+        out = out.join(joinable(left, otherwise="shuffle_hash"), key, "left")
     else:
         out = out.withColumn(may, F.array().cast("array<int>"))
     none = F.array().cast(_SPAN)
