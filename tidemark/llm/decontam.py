@@ -24,7 +24,7 @@ from tidemark.llm.bytewords import ALNUM_FOLDED, Words, windows, words
 from tidemark.llm.common import blocks, discard, joinable, row_key, staged
 
 TOKEN = 3
-BITS = 26  # of a token's hash: a bitmap of 8 MB, however many tokens there are
+BITS = 24  # of a token's hash: a bitmap of 2 MB, however many tokens there are
 _BUCKET = 32768  # bits of one bitmap of Spark's
 HOT = 1000  # a token with more than a 1/HOT of all places of anchors is joined in parts; there are fewer than HOT of them
 PARTS = 32
@@ -131,12 +131,16 @@ def _found(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     sizes = sorted(min(r["size"], TOKEN) for r in owned.select("size").distinct().collect())  # at most `window` rows
     sizes = sorted(set(sizes))
     tokens = owned.select("words", "size", F.size("tokens").alias("n_tokens"), F.posexplode("tokens").alias("place", "token")).distinct()
-    counts = _token_counts(docs, sizes, spark.sparkContext.broadcast(_bitmap(tokens)))
+    named = spark.sparkContext.broadcast(_bitmap(tokens))
+    counts = _token_counts(docs, sizes, named)
     # a window with a token that no document holds is in none
     rarest = tokens.join(counts, "token").groupBy("words", "size", "n_tokens").agg(F.min(F.struct("n", "place", "token")).alias("a"), F.count("*").alias("met")).filter("met = n_tokens")
     anchors = rarest.select("words", "size", "a.place", "a.token", "a.n").join(known.select("words", "items"), "words")
     anchors = staged(anchors, "anchors")
-    scan = staged(_scan(docs, sizes, spark.sparkContext.broadcast(_bitmap(anchors)), window), "scan")
+    wanted = spark.sparkContext.broadcast(_bitmap(anchors))
+    scan = staged(_scan(docs, sizes, wanted, window), "scan")
+    named.destroy()
+    wanted.destroy()
 
     places = anchors.groupBy("token").agg(F.first("n").alias("n"))
     every = places.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tidemark.llm.labelled import sample
+from tidemark.llm.labelled import Sample, train
 
 PIECE = 1024  # bytes compressed at once, so that a dictionary counts in all of a long text
 
@@ -74,13 +74,7 @@ def _dictionary(texts: list[bytes], size: int) -> tuple[bytes, bool]:
         return b"".join(pieces)[-size:], True
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, *, most: int = 3000, most_bytes: int = 64 << 20, size: int = 1 << 16) -> QualityModel:
-    """Dictionaries from one half of the sampled texts of each label, calibration from the other.
-
-    At most `most` whole texts a class are fetched, of about `most_bytes` together; a class with none (or empty tables) gives a
-    constant score. Rows without id, text or label teach nothing; repeated rows teach once; further columns are not looked at.
-    """
-    got = sample(docs, labels, "quality", most={0: most, 1: most}, most_bytes=most_bytes)
+def _fit_sample(got: Sample, size: int) -> QualityModel:
     (bad, n_bad), (good, n_good) = got[0], got[1]
     if not good or not bad:
         share = n_good / (n_good + n_bad) if n_good + n_bad else 0.5
@@ -98,6 +92,15 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, most: int = 3000, most_
     return QualityModel(dg, db, raw, slope, offset)
 
 
+def train_quality(docs: DataFrame, labels: DataFrame, *, most: int = 3000, most_bytes: int = 64 << 20, size: int = 1 << 16) -> QualityModel:
+    """Dictionaries from one half of the sampled texts of each label, calibration from the other.
+
+    At most `most` whole texts a class are fetched, of about `most_bytes` together; a class with none (or empty tables) gives a
+    constant score. Rows without id, text or label teach nothing; repeated rows teach once; further columns are not looked at.
+    """
+    return train(docs, labels, "quality", lambda got: _fit_sample(got, size), most={0: most, 1: most}, most_bytes=most_bytes)
+
+
 def quality_score(model: QualityModel, text: Column) -> Column:
     """Score (0 to 1) of whole texts; null counts as empty, equal texts score equally, and a text's length is not bounded."""
     kept: list = []

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tidemark.llm.labelled import sample
+from tidemark.llm.labelled import Sample, train
 
 BITS = 17
 SIZES = (3, 4, 5)
@@ -126,13 +126,7 @@ def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8,
     return ToxicityModel(value.astype(np.float32), float(bias[1] - bias[0]))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, *, most: int = 1500, most_bytes: int = 64 << 20) -> ToxicityModel:
-    """Fit on whole texts: at most `most` toxic and 1.5 times as many clean ones, each class of about `most_bytes`, weighted to the labels' shares.
-
-    With one class or none among the labels, or with empty tables, the score is constant. Rows without id, text or
-    label teach nothing; repeated rows teach once; further columns are not looked at.
-    """
-    got = sample(docs, labels, "toxic", most={0: most * 3 // 2, 1: most}, most_bytes=most_bytes)
+def _fit_sample(got: Sample) -> ToxicityModel:
     (clean, n_clean), (toxic, n_toxic) = got[0], got[1]
     if not clean or not toxic:
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
@@ -142,6 +136,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, *, most: int = 1500, most
     return fit(clean + toxic, y, weight / weight.mean())
 
 
+def train_toxicity(docs: DataFrame, labels: DataFrame, *, most: int = 1500, most_bytes: int = 64 << 20) -> ToxicityModel:
+    """Fit on whole texts: at most `most` toxic and 1.5 times as many clean ones, each class of about `most_bytes`, weighted to the labels' shares.
+
+    With one class or none among the labels, or with empty tables, the score is constant. Rows without id, text or
+    label teach nothing; repeated rows teach once; further columns are not looked at.
+    """
+    return train(docs, labels, "toxic", _fit_sample, most={0: most * 3 // 2, 1: most}, most_bytes=most_bytes)
+
+
 def scores(texts: list[bytes], model: ToxicityModel) -> np.ndarray:
     out, lo, size = np.empty(len(texts)), 0, 0
     for i, t in enumerate(texts):  # blocks of about BLOCK bytes bound the memory
