@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -137,6 +138,7 @@ def _numbers(rules: tuple[SecretRule, ...]) -> dict[str, int]:
 
 
 LIST_PARTS = 64  # of a trigram's posting list
+_BITS = 62
 
 
 def posting_lists(texts: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
@@ -144,9 +146,12 @@ def posting_lists(texts: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> Da
 
     A list lies in up to LIST_PARTS sorted runs, so a trigram that most texts hold is no task's alone.
     """
-    low = F.lower("body")
-    held = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(i)) for t, i in _numbers(rules).items()]))
-    rows = texts.select(F.explode(held).alias("gram"), "key")
+    number = _numbers(rules)
+    named, longs = list(number), []
+    for at in range(0, len(named), _BITS):  # whether a text holds each trigram, as bits, which compile to short code
+        longs.append(reduce(_plus, [F.contains("low", F.lit(t)).cast("long") * F.lit(1 << i) for i, t in enumerate(named[at : at + _BITS])]))
+    held = F.filter(F.sequence(F.lit(0), F.lit(len(named) - 1)), lambda i: F.getbit(F.col("bits")[(i / _BITS).cast("int")], i % _BITS) == 1)
+    rows = texts.select("key", F.lower("body").alias("low")).select("key", F.array(*longs).alias("bits")).select(F.explode(held).alias("gram"), "key")
     part = F.pmod(F.xxhash64("key"), F.lit(LIST_PARTS))
     return rows.repartition("gram", part).sortWithinPartitions("gram", "key")
 
