@@ -2,7 +2,7 @@
 
 Each text's non-overlapping blocks of half a window are the index; every rolling
 run of as many words, in every text, probes it. A window that repeats holds a whole block of its
-earlier place, so only windows around hits can repeat. These candidates are compared by a 128-bit hash of
+earlier place, so only windows around hits can repeat. These candidates are compared by a 96-bit hash of
 their whole word sequence, and runs of repeated windows are the maximal exact repeats.
 
 Texts are dealt into chunks by a hash of their id. A chunk sends each distinct run once, as four bytes in
@@ -137,7 +137,7 @@ def _send_windows(table: pa.Table, hits: pa.Table, block: int, size: int, bucket
     at, h = c.runs(size)
     some = hit[at + size - block + 1] > hit[at]
     at, h = at[some], h[some]
-    more = windows_at(c.second, size, at)
+    more = windows_at(c.second, size, at) & _LOW
     order = np.lexsort((more, h))  # keeps the order of texts, which stand by id, so the first has the smallest
     at, h, more = at[order], h[order], more[order]
     first = _starts(h, more)
@@ -149,7 +149,7 @@ def _send_windows(table: pa.Table, hits: pa.Table, block: int, size: int, bucket
     ends = np.append(first, len(h))
     chunk = table["chunk"][0].as_py()
     return pa.table(
-        {"bucket": bucket.astype(np.int64), "chunk": np.full(len(bucket), chunk, np.int64), "windows": _binary(h, ends), "more": _binary(more, ends), "owners": _binary(owner.astype(np.int64), ends)}
+        {"bucket": bucket.astype(np.int64), "chunk": np.full(len(bucket), chunk, np.int64), "windows": _binary(h, ends), "more": _binary(more.astype(np.uint32), ends), "owners": _binary(owner.astype(np.int64), ends)}
     )
 
 
@@ -167,7 +167,7 @@ def _starts(*sorted_by: np.ndarray) -> np.ndarray:
 
 def _later_windows(table: pa.Table) -> pa.Table:
     """Of one bucket: for each chunk its windows that a smaller id in another chunk has."""
-    h, more, owner = _joined(table["windows"], np.uint64), _joined(table["more"], np.uint64), _joined(table["owners"], np.int64)
+    h, more, owner = _joined(table["windows"], np.uint64), _joined(table["more"], np.uint32), _joined(table["owners"], np.int64)
     n = np.array([len(x.as_py()) // 8 for x in table["windows"]], np.int64)
     row = np.repeat(np.arange(len(n)), n)
     order = np.lexsort((owner, more, h))
@@ -202,7 +202,7 @@ def _cut(table: pa.Table, later: pa.Table, size: int) -> pa.Table:
     again = np.zeros(len(h), bool)
     known = _joined(later["windows"], np.uint64)
     here = np.flatnonzero(_within(h, np.sort(known)))
-    again[here] = _among(h[here], windows_at(c.second, size, at[here]), known, _joined(later["more"], np.uint64))
+    again[here] = _among(h[here], windows_at(c.second, size, at[here]) & _LOW, known, _joined(later["more"], np.uint32).astype(np.uint64))
     ordered = np.sort(h)
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     here = np.flatnonzero(_within(h, twice))
@@ -253,7 +253,7 @@ def repeated_spans(docs: DataFrame, *, window: int = 20, chunk_bytes: int = 4 <<
 
     A word (`[^\\x20\\x09-\\x0D]+`) goes if a window over it has a word sequence that also starts earlier: in a
     smaller doc_id, or in its own document before. Windows are judged on the input; word sequences are
-    equal if their 128-bit hashes are. removed: maximal repeats, in words from 0, ends exclusive. kept_sha256: of the words
+    equal if their 96-bit hashes are (that any two of 10^13 unequal ones agree has a chance below 0.001). removed: maximal repeats, in words from 0, ends exclusive. kept_sha256: of the words
     left, joined by blanks.
 
     Chunks hold about `chunk_bytes` of text and a bucket gets the runs of about `bucket_bytes`; partitions are as many as
@@ -264,7 +264,7 @@ def repeated_spans(docs: DataFrame, *, window: int = 20, chunk_bytes: int = 4 <<
     block = (window + 1) // 2
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n, buckets, parts = 1 + total // chunk_bytes, 1 + total // bucket_bytes, 1 + total // (8 * chunk_bytes)
+    n, buckets, parts = 1 + total // chunk_bytes, 1 + total // bucket_bytes, 1 + total // (4 * chunk_bytes)
     doc_id = F.col("doc_id").cast("long")
     dealt = docs.filter(doc_id.isNotNull()).select(F.pmod(F.xxhash64(doc_id), F.lit(n)).alias("chunk"), doc_id.alias("doc_id"), body).repartition(parts, "chunk")
 
