@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,15 +70,26 @@ def _branch(signal: DataFrame, prefix: str) -> Iterator[tuple[str, DataFrame]]:
     yield f"{prefix}_median_daily_sleep", profile_sleep(profile)
 
 
-def sleep_tables(entries: DataFrame, inactivity: DataFrame, *, gapped: bool = False) -> dict[str, DataFrame]:
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def _as_it_is(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def smooth_tables(signal: DataFrame, keep: Keep = _as_it_is) -> dict[str, DataFrame]:
+    """The tables of the median-filtered branch over a signal."""
+    smooth = keep("median_filter_signal", filtered(signal))
+    return {"median_filter_signal": smooth, "clean_median_filter_signal": drop_idle_days(smooth)} | dict(_branch(smooth, "median_filter"))
+
+
+def sleep_tables(entries: DataFrame, inactivity: DataFrame, *, gapped: bool = False, keep: Keep = _as_it_is) -> dict[str, DataFrame]:
     """All tables of the pipeline by name, from five-minute entries of app use and pauses between phone sessions.
 
-    gapped: the moving median runs over the signal without idle days, so its windows cross the gaps.
+    gapped: the moving median runs over the signal without idle days, so its windows cross the gaps. keep: what becomes of
+    the signals that several tables are made of; a job writes them and reads them back, so none is made twice.
     """
-    signal = usage_signal(entries)
-    clean = drop_idle_days(signal)
-    smooth = filtered(clean if gapped else signal)
+    signal = keep("no_filter_signal", usage_signal(entries))
+    clean = keep("clean_no_filter_signal", drop_idle_days(signal))
     tables = {"inactivity_based_daily_sleep": daily_sleep(inactivity_periods(inactivity)), "no_filter_signal": signal, "clean_no_filter_signal": clean}
-    tables |= dict(_branch(signal, "no_filter"))
-    tables |= {"median_filter_signal": smooth, "clean_median_filter_signal": drop_idle_days(smooth)}
-    return tables | dict(_branch(smooth, "median_filter"))
+    return tables | dict(_branch(signal, "no_filter")) | smooth_tables(clean if gapped else signal, keep)

@@ -101,7 +101,8 @@ def phone_sessions(spark: SparkSession, base: str) -> None:
 
 
 def positive(spark: SparkSession, base: str) -> None:
-    _write(activity.positive_time(spark.read.parquet(f"{base}/phone_inactivity_sessions")), base, "positive_time")
+    """Time without the phone, where pauses of over a day from before SINCE are left out, and minutes of use."""
+    _write(activity.positive_time(spark.read.parquet(f"{base}/phone_inactivity_sessions"), filter_start=SINCE), base, "positive_time")
     use = _usage(spark, base).withColumn("id", F.xxhash64("time", "duration", "packageName"))
     _write(activity.positive_minutes(use), base, "pos_minutes")
 
@@ -126,9 +127,26 @@ def locations(spark: SparkSession, base: str) -> None:
 
 
 def sleeps(spark: SparkSession, base: str) -> None:
+    """The sleep tables; those of the moving median also with it over the signal without idle days (gapped_..).
+
+    A signal is written first and read back by the tables made of it.
+    """
     entries = tables.read_aggregate(spark, base, "app_total_duration", FIVE_MIN)
-    for name, df in sleep.sleep_tables(entries, spark.read.parquet(f"{base}/phone_inactivity_sessions")).items():
-        _write(df, base, name)
+    written: set[str] = set()
+
+    def keep(prefix: str) -> sleep.Keep:
+        def read_back(name: str, df: DataFrame) -> DataFrame:
+            _write(df, base, prefix + name)
+            written.add(prefix + name)
+            return spark.read.parquet(f"{base}/{prefix}{name}")
+
+        return read_back
+
+    found = sleep.sleep_tables(entries, spark.read.parquet(f"{base}/phone_inactivity_sessions"), keep=keep(""))
+    gapped = sleep.smooth_tables(spark.read.parquet(f"{base}/clean_no_filter_signal"), keep("gapped_"))
+    for name, df in {**found, **{f"gapped_{n}": df for n, df in gapped.items()}}.items():
+        if name not in written:
+            _write(df, base, name)
 
 
 def installed(spark: SparkSession, base: str) -> None:

@@ -10,7 +10,8 @@ from tidemark.plans import adapter as ad
 from tidemark.plans.aggregate_queries import _with, split_sql
 from tidemark.plans.registry import query
 from tidemark.schema import DAILY, DAY, HOURLY, MINUTE
-from tidemark.sources import dump
+from tidemark.session import scratch
+from tidemark.sources import dump, tables
 
 _WIDE = {"session_cutoff": 24 * 3_600_000, "pause_cutoff": 6 * 3_600_000}
 
@@ -332,6 +333,30 @@ def dump_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump.decode(dump.split_lines(_dump_lines(spark, sf_dir, 32, payload)), 32).withColumn("kind", F.lit("view"))
 
 
+@query(
+    _with(ad.EV) + "select id, userId, time, 'view' as kind, 'name' || k as appName, 'org.a' || k as packageName, 'a' || chr(9) || 'b' as windowTitle from ev where id % 2 = 0 and id % 13 <> 0 "
+    "union all select id, userId, time, 'view', 'name' || k, 'org.a' || k, 'ab' from ev where id % 2 = 1 and id % 13 <> 0"
+)
+def dump_text_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dump_windows by way of a text dump on disk and the event table made of it."""
+    title = F.when(F.col("event_id") % 2 == 0, F.lit("a\tb")).otherwise(F.lit("ab"))
+    payload = F.concat(F.lit('["name'), F.col("k"), F.lit('","org.a'), F.col("k"), F.lit("/org.a"), F.col("k"), F.lit('.Main","'), title, F.lit('"]'))
+    base = scratch(spark, "dump")
+    _dump_lines(spark, sf_dir, 32, payload).select("value").write.text(f"{base}/text")
+    tables.write_table(dump.decode(dump.read_dump(spark, f"{base}/text"), 32), f"{base}/window_state_changed")
+    return tables.read_events(spark, base, "window_state_changed").withColumn("kind", F.lit("view"))
+
+
+@query("select p_brand as key, p_type as category, count(*) as n from part where p_size > 10 group by all")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written as a table and, filtered in its scan, as CSV with a header; what the CSV says, counted."""
+    base = scratch(spark, "csv")
+    tables.write_table(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_brand", "p_type", "p_size"), f"{base}/part")
+    few = tables.read_events(spark, base, "part", F.col("p_size") > 10)
+    tables.write_csv(few.select(F.col("p_brand").alias("key"), F.col("p_type").alias("category")), f"{base}/lookup.csv")
+    return tables.read_csv(spark, f"{base}/lookup.csv", "key string, category string").groupBy("key", "category").agg(F.count("*").alias("n"))
+
+
 @query(_with(ad.EV) + "select userId, time, k::bigint * 1000 as duration, 'org.b' || k as packageName from ev where id % 13 <> 0")
 def dump_app_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.concat(F.lit('["1","'), F.col("k"), F.lit('","B","org.b'), F.col("k"), F.lit('"]'))

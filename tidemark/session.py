@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -35,3 +36,13 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(top.rglob("*.py")):
             z.write(p, p.relative_to(top.parent).as_posix())
     spark.sparkContext.addPyFile(target)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or on a local master without one a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"

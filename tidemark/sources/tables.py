@@ -26,8 +26,8 @@ def write_aggregates(aggregates: DataFrame, base: str, overwrite: bool = False)
     from tidemark.schema import GRANULARITIES
 
     level = F.coalesce(*[F.when(F.col("granularity") == g.code, F.lit(g.name)) for g in GRANULARITIES])
-    # no shuffle by key first: a hot metric would land in one task
-    write_table(aggregates.withColumn("level", level), f"{base}/aggregates", overwrite, by=("metric", "level"))
+    # one shuffle, so that a task writes few files; adaptive execution splits a hot metric over tasks
+    write_table(aggregates.withColumn("level", level).hint("rebalance", "metric", "level"), f"{base}/aggregates", overwrite, by=("metric", "level"))
 
 
 def write_table(df: DataFrame, path: str, overwrite: bool = False, by: tuple[str, ...] = ()) -> None:
@@ -37,13 +37,14 @@ def write_table(df: DataFrame, path: str, overwrite: bool = False, by: tuple[str
 
 
 def write_events(fields: DataFrame, base: str, overwrite: bool = False) -> None:
-    """One table for each event type of a dump's split lines."""
-    fields.persist()
+    """One table for each event type of a dump's split lines, which are first written by type, so each table reads its own lines."""
+    spark, lines = fields.sparkSession, f"{base}/_lines"
+    write_table(fields.hint("rebalance", "type"), lines, True, by=("type",))
     try:
-        for table, df in decode_all(fields).items():
+        for table, df in decode_all(spark.read.schema(fields.schema).parquet(lines)).items():
             write_table(df, f"{base}/{table}", overwrite)
     finally:
-        fields.unpersist()
+        remove(spark, lines)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
