@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -74,26 +74,33 @@ def _dictionary(texts: list[bytes], size: int) -> tuple[bytes, bool]:
         return b"".join(pieces)[-size:], True
 
 
+def _pair(good: list[bytes], bad: list[bytes], size: int) -> QualityModel:
+    """An uncalibrated model of both classes' texts."""
+    (dg, raw_g), (db, raw_b) = _dictionary(good, size), _dictionary(bad, size)
+    if raw_g != raw_b:  # compare like with like
+        dg, db = b"".join(good)[-size:], b"".join(bad)[-size:]
+    return QualityModel(dg, db, raw_g or raw_b, 0.0, 0.0)
+
+
 def _fit_sample(got: Sample, size: int) -> QualityModel:
     (bad, n_bad), (good, n_good) = got[0], got[1]
     if not good or not bad:
         share = n_good / (n_good + n_bad) if n_good + n_bad else 0.5
         return QualityModel(b"", b"", True, 0.0, float(np.log(max(share, 1e-3) / max(1 - share, 1e-3))))
-    (dg, raw_g), (db, raw_b) = _dictionary(good[0::2], size), _dictionary(bad[0::2], size)
-    if raw_g != raw_b:  # compare like with like
-        dg, db = b"".join(good[0::2])[-size:], b"".join(bad[0::2])[-size:]
-    raw = raw_g or raw_b
-    model = QualityModel(dg, db, raw, 0.0, 0.0)
-    rest_g, rest_b = good[1::2] or good, bad[1::2] or bad
-    x = difference(rest_g + rest_b, *model.compressors())
-    y = np.array([1.0] * len(rest_g) + [0.0] * len(rest_b))
-    weight = np.where(y == 1, n_good / len(rest_g), n_bad / len(rest_b))
-    slope, offset = _platt(x, y, weight / weight.mean())
-    return QualityModel(dg, db, raw, slope, offset)
-
-
-def train_quality(docs: DataFrame, labels: DataFrame, *, most: int = 3000, most_bytes: int = 64 << 20, size: int = 1 << 16) -> QualityModel:
-    """Dictionaries from one half of the sampled texts of each label, calibration from the other.
+    model = _pair(good, bad, size)
+    x_good, x_bad = np.zeros(len(good)), np.zeros(len(bad))
+    for half in (0, 1):  # each half is measured by dictionaries that have not seen it, where there are two texts
+        other = _pair(good[1 - half :: 2] or good, bad[1 - half :: 2] or bad, size).compressors()
+        x_good[half::2] = difference(good[half::2], *other)
+        x_bad[half::2] = difference(bad[half::2], *other)
+    y = np.repeat([1.0, 0.0], [len(good), len(bad)])
+    weight = np.where(y == 1, n_good / len(good), n_bad / len(bad))
+    slope, offset = _platt(np.concatenate([x_good, x_bad]), y, weight / weight.mean())
+    return replace(model, slope=slope, offset=offset)
+
+
+def train_quality(docs: DataFrame, labels: DataFrame, *, most: int = 3000, most_bytes: int = 64 << 20, size: int = 1 << 18) -> QualityModel:
+    """Dictionaries from the sampled texts of each label; the calibration measures each half by dictionaries of the other.
 
     At most `most` whole texts a class are fetched, of about `most_bytes` together; a class with none (or empty tables) gives a
     constant score. Rows without id, text or label teach nothing; repeated rows teach once; further columns are not looked at.
