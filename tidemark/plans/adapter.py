@@ -42,10 +42,15 @@ def events_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
 KV = "kv as (select userId, time, duration, kind as key from ev)"
 
 
+def parts(kind: str) -> int:
+    """How many tables the events of a type are dealt to."""
+    return 2 if kind == "error" else 3
+
+
 def event_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One table for each event type of the metric specs, by type and the parity of the id."""
+    """One table for each event type of the metric specs: every event is in one, by its type and the remainder of its id."""
     rows = base(spark, sf_dir)
-    half = lambda kind, r: rows.filter((F.col("kind") == kind) & (F.col("id") % 3 == r))
+    half = lambda kind, r: rows.filter((F.col("kind") == kind) & (F.col("id") % parts(kind) == r))
     call = [F.col("k").alias("contactHash"), F.col("time").alias("startTimestamp"), F.col("duration").alias("durationInMillis")]
     text = [F.col("k").alias("contactHash"), F.col("k").cast("int").alias("msgLength")]
     bare = ["id", "userId", "time"]

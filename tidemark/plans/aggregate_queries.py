@@ -108,7 +108,7 @@ def metric_entries_sql(levels: tuple[Granularity, ...]) -> str:
     parts = []
     for kind, r, key, value, splits, count, total, distinct in ad.PARTS:
         for g in levels:
-            rows = f"select userId, time, {'duration' if splits else '0::bigint as duration'}, {key} as key, {value} as v from ev where kind = '{kind}' and id % 3 = {r}"
+            rows = f"select userId, time, {'duration' if splits else '0::bigint as duration'}, {key} as key, {value} as v from ev where kind = '{kind}' and id % {ad.parts(kind)} = {r}"
             source = split_sql(f"({rows})", g.millis)
             head = f"select userId, b as time, {g.code}::bigint as granularity"
             parts.append(f"{head}, key, count(*)::bigint as value, '{count}' as metric from ({source}) group by userId, b, key")

@@ -50,15 +50,16 @@ def good_app_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.good_sessions(app_sessions(spark, sf_dir), since=_SINCE, until=_UNTIL, longest_seconds=21_600)
 
 
-_COLLECTED = "collected as (select userId, time, duration, app from sessions where id % 50 = 3)"
+_COLLECTED = "collected as (select userId, time, duration, 'app' || k as app from ev where kind = 'signup')"
 
 
 @query(
-    _with(ad.EV, ad.WINDOW_EVENTS, _APP_SESSIONS, ad.SESSIONS, _COLLECTED)
+    _with(ad.EV, ad.WINDOW_EVENTS, _APP_SESSIONS, _COLLECTED)
     + "select userId, time, duration, app from collected union all select userId, time, duration, app from app_sessions left join (select userId, min(time) as first from collected group by 1) using (userId) where first is null or time < first"
 )
 def combined_app_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    collected = ad.sessions(spark, sf_dir).filter("id % 50 = 3").select("userId", "time", "duration", "app")
+    """Sign-ups stand for the sessions that the phone has collected itself."""
+    collected = ad.base(spark, sf_dir).filter("kind = 'signup'").select("userId", "time", "duration", F.concat(F.lit("app"), F.col("k")).alias("app"))
     return sessions.combine_sessions(collected, app_sessions(spark, sf_dir))
 
 
@@ -173,7 +174,7 @@ def activity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.activity_clusters(phone, sessions.inactivity_sessions(phone), 2)
 
 
-_PLACES = "places as (select points.*, id % 5 + 10 as cluster from points where accuracy <> 0 and id % 4 = 0)"
+_PLACES = "places as (select points.*, id % 5 + 10 as cluster from points where accuracy <> 0)"
 _FRAGMENTS = """
 fragments as (
   select s.userId, coalesce(p.time, 0) as locationChangeTime, coalesce(p.cluster, 999999)::bigint as locationCluster, s.time, s.duration, s.app
@@ -183,7 +184,7 @@ fragments as (
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = ad.points(spark, sf_dir)
-    clusters = points.filter("id % 4 = 0").select("id", (F.col("id") % 5 + 10).alias("cluster"))
+    clusters = points.select("id", (F.col("id") % 5 + 10).alias("cluster"))
     return places.located(points, clusters)
 
 
@@ -263,13 +264,13 @@ def app_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STUDY = f"""
 study as (
   select userId, a as startTime, z as endTime, trunc((z - a) / {DAY}::double)::bigint as days from (
-    select userId, min(time) - min(time) % {DAY} + {DAY} as a, max(time) - max(time) % {DAY} as z from sessions where userId % 2 = 0 group by 1)
+    select userId, min(time) - min(time) % {DAY} + {DAY} as a, max(time) - max(time) % {DAY} as z from sessions group by 1)
 )"""
 
 
 def _study(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ad.sessions(spark, sf_dir)
-    return documents.user_days(rows.filter("userId % 2 = 0").select(F.col("userId").alias("user")), rows)
+    return documents.user_days(rows.select(F.col("userId").alias("user")), rows)
 
 
 @query(_with(ad.EV, ad.SESSIONS, _STUDY) + "select * from study")
