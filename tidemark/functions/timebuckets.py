@@ -63,6 +63,18 @@ def split_intervals(df: DataFrame, g: Granularity, start: str = "time", duration
     return out.withColumns({duration: cut, start: left})
 
 
+def split_levels(df: DataFrame, levels: tuple[Granularity, ...]) -> DataFrame:
+    """split_intervals at several levels in one pass over the rows of (time, duration): `granularity` is the level's code."""
+
+    def touched(g: Granularity) -> Column:
+        return F.transform(bucket_starts(F.col("time"), F.col("duration"), g), lambda b: F.struct(b.alias("bucket"), F.lit(g.code).alias("granularity"), F.lit(g.millis).alias("width")))
+
+    out = df.select("*", F.inline(F.flatten(F.array(*map(touched, levels)))))
+    left = F.greatest("time", "bucket")
+    cut = F.when(F.col("duration") < 0, F.col("duration")).otherwise(F.least(F.col("time") + F.col("duration"), F.col("bucket") + F.col("width")) - left)
+    return out.withColumns({"duration": cut, "time": left}).drop("width")
+
+
 def day_start(t: Column) -> Column:
     return floor_epoch(t, DAILY)
 

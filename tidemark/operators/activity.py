@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timebuckets import day_start, end_of_day, floor_epoch, split_intervals
+from tidemark.functions.timebuckets import day_start, end_of_day, floor_epoch, split_levels
 from tidemark.schema import DAILY, DAY, HOURLY, MINUTE, Granularity
 
 INTERVALS = (0, 5, 10, 15, 20, 30, 60)  # minutes; fixed values
@@ -18,16 +18,14 @@ def positive_time(inactivity: DataFrame, *, levels: tuple[Granularity, ...] = (D
     into it (null for interval 0). Pauses of over a day that begin before `filter_start` are left out.
     """
     rows = inactivity.filter(~((F.col("time") < filter_start) & (F.col("duration") > DAY)))
-    out = None
-    for g in levels:
-        own = split_intervals(rows, g).withColumn("interval", F.explode(F.array(*[F.lit(i) for i in intervals])))
-        width = F.col("interval").cast("long") * MINUTE
-        millis = F.greatest(F.lit(0).cast("long"), F.col("duration") - width)
-        times = F.when(F.col("interval") > 0, F.expr(f"duration div nullif(interval * {MINUTE}L, 0L)"))
-        own = own.groupBy("userId", F.col("bucket").alias("time"), "interval").agg(F.sum(millis).alias("millis"), F.sum(times).alias("count"))
-        own = own.select("userId", "time", F.lit(g.code).alias("granularity"), "interval", "millis", "count")
-        out = own if out is None else out.unionByName(own)
-    return out
+    pieces = split_levels(rows, levels)
+    sums = []
+    for i in intervals:
+        sums.append(F.sum(F.greatest(F.lit(0).cast("long"), F.col("duration") - i * MINUTE)).alias(f"millis_{i}"))
+        sums.append(F.sum(F.expr(f"duration div nullif({i * MINUTE}L, 0L)")).alias(f"count_{i}"))
+    sums = pieces.groupBy("userId", "bucket", "granularity").agg(*sums)
+    each = F.array(*[F.struct(F.lit(i).alias("interval"), F.col(f"millis_{i}").alias("millis"), F.col(f"count_{i}").alias("count")) for i in intervals])
+    return sums.select("userId", F.col("bucket").alias("time"), "granularity", F.inline(each))
 
 
 def positive_minutes(sessions: DataFrame, intervals: tuple[int, ...] = INTERVALS) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +56,53 @@ def combine_sessions(phone: DataFrame, derived: DataFrame) -> DataFrame:
 
 
 _FRAGMENT = "userId long, sessionStart long, time long, duration long, app string"
-_ARROW = pa.schema([("userId", pa.int64()), ("sessionStart", pa.int64()), ("time", pa.int64()), ("duration", pa.int64()), ("app", pa.string())])
+
+
+def _filled(marks: np.ndarray) -> np.ndarray:
+    """For each place the last one that is marked so far; -1 before any."""
+    return np.maximum.accumulate(np.where(marks, np.arange(len(marks)), -1))
+
+
+def phone_pieces(batches: Iterator[pa.RecordBatch], session_cutoff: int, pause_cutoff: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of rows (userId, time, kind, shown, duration, app) that are sorted by user and time.
+
+    Pauses and locks are told by arrays; only a stretch without pauses that is longer than a session may be is walked, by
+    a search for each session's end. Between batches user, start, end and lock of the last row are kept.
+    """
+    last: tuple[int | None, int, int, bool] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        users, kinds = batch.column("userId"), batch.column("kind")
+        u, known = pc.fill_null(users, 0).to_numpy(zero_copy_only=False), pc.is_valid(users).to_numpy(zero_copy_only=False)
+        t, ends = (c.to_numpy(zero_copy_only=False) for c in (batch.column("time"), pc.add(batch.column("time"), pc.fill_null(batch.column("duration"), 0))))
+        is_kind = {k: pc.fill_null(pc.equal(kinds, k), False).to_numpy(zero_copy_only=False) for k in "FUL"}
+        fresh = np.append(True, (u[1:] != u[:-1]) | (known[1:] != known[:-1]))
+        before, start, unlocked = np.append(t[0], ends[:-1]), int(t[0]), False
+        if last and last[0] == (int(u[0]) if known[0] else None):
+            fresh[0], start, before[0], unlocked = False, last[1], last[2], last[3]
+        changed = ~fresh & (t - before > pause_cutoff)
+        borders = np.flatnonzero(np.append(True, (fresh | changed)[1:]))
+        begins = t[borders]
+        if not (fresh[0] or changed[0]):
+            begins[0] = start  # the session goes on from the batch before
+        stops = np.append(borders[1:], len(t))
+        for i in np.flatnonzero(t[stops - 1] - begins > session_cutoff):
+            lo, hi, begin = borders[i], stops[i], begins[i]
+            while t[hi - 1] - begin > session_cutoff:
+                lo += np.searchsorted(t[lo:hi], begin + session_cutoff, "right")
+                changed[lo], begin = True, t[lo]
+        since = _filled(fresh | changed)
+        starts = np.where(since < 0, start, t[since])
+        # a lock locks, an unlock or any other change unlocks, a new user begins locked; what else comes leaves it as it is
+        opens = is_kind["U"] | (changed & ~is_kind["L"])
+        state, told = _filled(opens | is_kind["L"]), _filled(fresh)
+        after = np.where(state < told, False, np.where(state < 0, unlocked, opens[state]))
+        was = np.where(fresh, False, np.append(unlocked, after[:-1]))
+        out = pa.array(is_kind["F"] & (was | changed))
+        last = (int(u[-1]) if known[-1] else None, int(starts[-1]), int(ends[-1]), bool(after[-1]))
+        columns = [users, pa.array(starts, pa.int64()), batch.column("shown"), pc.fill_null(batch.column("duration"), 0), batch.column("app")]
+        yield pa.RecordBatch.from_arrays([c.filter(out) for c in columns], ["userId", "sessionStart", "time", "duration", "app"])
 
 
 def phone_sessions(events: DataFrame, *, session_cutoff: int = SESSION_CUTOFF, pause_cutoff: int = PAUSE_CUTOFF, partitions: int | None = None) -> DataFrame:
@@ -63,32 +111,14 @@ def phone_sessions(events: DataFrame, *, session_cutoff: int = SESSION_CUTOFF, p
     Kinds: F (an app, call or message), U (unlocked), L (locked), others. shown: the time a piece is given. A session
     changes if the event is later than `session_cutoff` after its start or `pause_cutoff` after the last event's end. In
     an unlocked or changed session F gives a piece and unlocks, L locks, others unlock; in the locked rest
-    only U unlocks. Each boundary depends on the one before, so this is a fold: rows are sorted by user and
-    time, and a task keeps four fields of the user it is at.
+    only U unlocks. Each boundary depends on the one before, so this is a fold over batches: rows are sorted by user and
+    time, and a task keeps four fields of the user it is at. Rows without time take no part; a null duration is 0.
     """
     columns = ["userId", "time", "kind", "shown", "duration", "app"]
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        user, start, end, unlocked, begun = None, 0, 0, False, False
-        for batch in batches:
-            out: list[tuple] = []
-            for u, t, kind, shown, duration, app in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns], strict=True):
-                if not begun or u != user:
-                    user, start, end, unlocked, begun = u, t, t, False, True
-                changed = t - start > session_cutoff or t - end > pause_cutoff
-                if changed:
-                    start = t
-                end = t + duration
-                if unlocked or changed:
-                    if kind == "F":
-                        out.append((u, start, shown, duration, app))
-                    unlocked = kind != "L"
-                else:
-                    unlocked = kind == "U"
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, _ARROW, strict=True)], schema=_ARROW)
-
-    dealt = events.repartition(partitions, "userId") if partitions else events.repartition("userId")
-    return dealt.sortWithinPartitions("userId", "time", "rank", "id").select(*columns).mapInArrow(fold, _FRAGMENT)
+    timed = events.filter("time is not null")
+    dealt = timed.repartition(partitions, "userId") if partitions else timed.repartition("userId")
+    rows = dealt.sortWithinPartitions("userId", "time", "rank", "id").select(*[F.col(c).cast("long") if c in ("userId", "time", "shown", "duration") else F.col(c) for c in columns])
+    return rows.mapInArrow(lambda batches: phone_pieces(batches, session_cutoff, pause_cutoff), _FRAGMENT)
 
 
 def inactivity_sessions(phone: DataFrame) -> DataFrame:
