@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, licenses, mixing, neardup, neighbours, quality, secrets, substrings, tokencount, toxicity
+from tidemark.llm import decontam, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, tokencount, toxicity
 from tidemark.llm.common import read_table
 from tidemark.llm.labelled import fold
 from tidemark.llm.sql import ORACLES
@@ -125,6 +125,18 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens and 64 segments; all ids bear loss, so that limit is 2048 too.
+
+    Null and empty texts are the end id alone; null and repeated ids and repeated rows are documents each; long texts are cut, not
+    shortened; no rows give none; further columns are not looked at.
+    """
+    with open(tokencount.VOCABULARY, "rb") as f:  # a fixed file of the driver's
+        vocabulary = f.read()
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary, payload="crc32")
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -138,6 +150,7 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_decontamination,
         op10_source_mixing,
+        op11_vector_packing,
     )
 }
 
