@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, tokencount, toxicity
+from tidemark.llm import decontam, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, tokencount, toxicity, trie
 from tidemark.llm.common import read_table
 from tidemark.llm.labelled import fold
 from tidemark.llm.sql import ORACLES
@@ -137,6 +137,15 @@ def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt on the first turns of its hundred's first conversation.
+
+    Null roles and texts are empty; null turns come first, ties go by a digest of role and text; rows without conv_id take no part;
+    long texts count whole, repeated rows are turns each; no rows give none; further columns are not looked at.
+    """
+    return trie.prefix_trie(trie.share_heads(trie.conversation_turns(read_table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -151,6 +160,7 @@ QUERIES: dict[str, Query] = {
         op9_decontamination,
         op10_source_mixing,
         op11_vector_packing,
+        op13_prefix_trie,
     )
 }
 

@@ -107,7 +107,55 @@ from d left join agg using (doc_id)
 """
 
 
+_CRC32 = """crc_table as (
+  select list(c order by n) as tab from (
+    with recursive bits(n, c, k) as (
+      select i, i, 0 from range(256) r(i) union all select n, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8
+    ) select n, c from bits where k = 8)
+)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, where `tab` of crc_table is at hand."""
+    return (
+        f"xor(list_reduce(list_transform(range(0, 2 * octet_length(encode({text})), 2), lambda i: ('0x' || substr(hex(encode({text})), i + 1, 2))::bigint), "
+        "lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1]), 4294967295::bigint), 4294967295)"
+    )
+
+
+PREFIX_TRIE = f"""
+with {_CRC32}, t as (
+  select conv_id, coalesce(text, '') as text, sha256(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, ''))) as turn,
+    row_number() over (partition by conv_id order by turn nulls first, sha256(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, '')))) as pos
+  from conversations where conv_id is not null
+), c as (
+  select conv_id, {_crc32('conv_id::varchar')} % 6 as h from (select distinct conv_id from t), crc_table
+), r as (
+  select c.conv_id, 0 as part, pos, turn, text from c join t on t.conv_id = c.conv_id - c.conv_id % 100 and pos <= h
+  union all select conv_id, 1, pos, turn, text from c join t using (conv_id) where pos > h
+), p as (
+  select conv_id, row_number() over w as d, length(text) as chars, sha256(string_agg(turn, '') over w) as node from r window w as (partition by conv_id order by part, pos)
+), q as (
+  select conv_id, 0 as d, 0 as chars, 'root' as node from c union all select * from p
+), n as (
+  select node, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(chars) as chars from q group by node, d
+), up as (
+  select distinct q.node, q.d, a.node as above from q left join q a on a.conv_id = q.conv_id and a.d = q.d - 1
+), k as (
+  select above as node, count(*) as n_children from up where above is not null group by above
+), below as (
+  select distinct a.node, b.node as under from q a join q b on a.conv_id = b.conv_id and a.d <= b.d
+), s as (
+  select below.node, sum((m.n_convs - 1) * m.chars) as saved, count(*) filter (where k.node is null) as n_leaves from below join n m on m.node = below.under left join k on k.node = below.under group by below.node
+), e as (
+  select node, string_agg(conv_id::varchar, ',' order by conv_id) as ids from (select conv_id, arg_max(node, d) as node from q group by conv_id) group by node
+)
+select n.conv_id, n.d::bigint as depth, m.conv_id as parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::bigint as n_children, s.n_leaves, s.saved::bigint as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from n join up using (node) left join n m on m.node = up.above left join k on k.node = n.node join s on s.node = n.node left join e on e.node = n.node
+"""
+
 ORACLES = {
+    "op13_prefix_trie": PREFIX_TRIE,
     "op4_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_substring_dedup": SUBSTRINGS,
     "op7_secret_scan": _secrets(),
