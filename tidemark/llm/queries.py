@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, tokencount, toxicity, trie
+from tidemark.llm import decontam, importance, licenses, mixing, neardup, neighbours, packing, quality, secrets, substrings, tokencount, toxicity, trie
 from tidemark.llm.common import read_table
 from tidemark.llm.labelled import fold
 from tidemark.llm.sql import ORACLES
@@ -137,6 +137,16 @@ def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five percent of the documents of at least 20 words, drawn towards the benchmark's n-grams.
+
+    Null and empty texts have no features and weight 0; null and repeated ids and repeated rows are documents each, null ids rank last
+    among ties; long texts count whole; no rows give none; further columns are not looked at.
+    """
+    drawn = importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), percent=5, least_words=20)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all conversations, each rebuilt on the first turns of its hundred's first conversation.
 
@@ -160,6 +170,7 @@ QUERIES: dict[str, Query] = {
         op9_decontamination,
         op10_source_mixing,
         op11_vector_packing,
+        op12_importance_resampling,
         op13_prefix_trie,
     )
 }

@@ -154,7 +154,38 @@ select n.conv_id, n.d::bigint as depth, m.conv_id as parent_conv_id, n.n_convs,
 from n join up using (node) left join n m on m.node = up.above left join k on k.node = n.node join s on s.node = n.node left join e on e.node = n.node
 """
 
+_ALNUM_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+RESAMPLING = f"""
+with {_CRC32}, x as (
+  select 0 as side, doc_id, regexp_extract_all({_FOLD}, {_ALNUM_WORDS}) as ws from documents
+  union all select 1, null, regexp_extract_all({_FOLD}, {_ALNUM_WORDS}) from benchmark
+), f as (
+  select side, doc_id, unnest(list_concat(ws, list_concat(list_transform(range(1, len(ws)), lambda i: array_to_string(ws[i:i+1], ' ')), list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i+2], ' '))))) as f from x
+), n as (
+  select side, doc_id, f, count(*) as n from f group by all
+), h as (
+  select f, {_crc32('f')} % 10000 as b from (select distinct f from n), crc_table
+), b as (
+  select side, doc_id, b, sum(n) as n from n join h using (f) group by all
+), totals as (
+  select coalesce(sum(n) filter (where side = 0), 0)::double as s_all, coalesce(sum(n) filter (where side = 1), 0)::double as t_all from b
+), gain as (
+  select b, floor(1000 * ln((coalesce(sum(n) filter (where side = 1), 0)::double + 1) * (any_value(s_all) + 10000) / ((coalesce(sum(n) filter (where side = 0), 0)::double + 1) * (any_value(t_all) + 10000))))::bigint as g from b, totals group by b
+), weight as (
+  select doc_id, sum(n)::bigint as n_features, sum(n * g)::bigint as weight from b join gain using (b) where side = 0 group by doc_id
+), scored as (
+  select doc_id, len(ws) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from (select * from x where side = 0) left join weight using (doc_id)
+), ranked as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place, (5 * count(*) filter (where n_words >= 20) over ()) // 100 as most from scored
+)
+select doc_id, n_features, weight, score, case when n_words >= 20 and place <= most then place end as rank from ranked
+"""
+
 ORACLES = {
+    "op12_importance_resampling": RESAMPLING,
     "op13_prefix_trie": PREFIX_TRIE,
     "op4_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_substring_dedup": SUBSTRINGS,
