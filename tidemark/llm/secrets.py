@@ -12,15 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from re import _constants as _c
-from re import _parser
-
 from tidemark.llm.common import discard, fresh, joinable, row_key, staged
+from tidemark.llm.regexes import MOST, Either, Repeat, Run, parsed, spelt
 
 
 @dataclass(frozen=True)
@@ -53,7 +50,6 @@ BASE = ("assign", "access", "hex")
 
 Query = frozenset  # of alternatives, each a frozenset of trigrams; one empty alternative: any text
 ANY: Query = frozenset([frozenset()])
-_MOST = 64
 
 
 def _all(a: Query, b: Query) -> Query:
@@ -69,67 +65,30 @@ def _of_strings(strings: set[str]) -> Query:
     return _least(frozenset(frozenset(s[i : i + 3] for i in [*range(0, len(s) - 2, 3), len(s) - 3] if i >= 0) for s in strings))
 
 
-def _exact(item) -> set[str] | None:
-    """All strings (folded) that a parsed item can match, if they are few; else None."""
-    op, arg = item
-    if op is _c.LITERAL:
-        return {chr(arg).lower()}
-    if op is _c.IN:
-        found = set()
-        for kind, x in arg:
-            if kind is _c.LITERAL:
-                found.add(chr(x).lower())
-            elif kind is _c.RANGE and x[1] - x[0] < _MOST:
-                found |= {chr(k).lower() for k in range(x[0], x[1] + 1)}
-            else:
-                return None
-        return found if len(found) <= 8 else None
-    if op is _c.SUBPATTERN:
-        return _exact_run(arg[3])
-    if op is _c.BRANCH:
-        own = [_exact_run(x) for x in arg[1]]
-        return None if None in own else set().union(*own)
-    if op in (_c.MAX_REPEAT, _c.MIN_REPEAT) and arg[1] != _c.MAXREPEAT and arg[1] <= 2:
-        once = _exact_run(arg[2])
-        return once and {"".join(p) for n in range(arg[0], arg[1] + 1) for p in product(once, repeat=n)}
-    return None
-
-
-def _exact_run(items) -> set[str] | None:
-    run = {""}
-    for item in items:
-        own = _exact(item)
-        if own is None or len(run) * len(own) > _MOST:
-            return None
-        run = {a + b for a in run for b in own}
-    return run
-
-
-def _query(items) -> Query:
+def _query(part: Run) -> Query:
     out, run = ANY, {""}
-    for op, arg in items:
-        own = _exact((op, arg))
+    for item in part.items:
+        own = spelt(item)
         if own is not None and "" in own:  # what may be missing ends the run
             own = {""}
             out, run = _all(out, _of_strings(run)), {""}
-        if own is not None and len(run) * len(own) <= _MOST:
+        if own is not None and len(run) * len(own) <= MOST:
             run = {a + b for a in run for b in own}
             continue
         out = _all(out, _of_strings(run))
         run = own if own is not None else {""}
-        if own is None:
-            if op is _c.SUBPATTERN:
-                out = _all(out, _query(arg[3]))
-            elif op is _c.BRANCH:
-                out = _all(out, _least(frozenset().union(*[_query(x) for x in arg[1]])))
-            elif op in (_c.MAX_REPEAT, _c.MIN_REPEAT) and arg[0] > 0:
-                out = _all(out, _query(arg[2]))
+        if isinstance(item, Run):
+            out = _all(out, _query(item))
+        elif isinstance(item, Either):
+            out = _all(out, _least(frozenset().union(*[_query(x) for x in item.items])))
+        elif isinstance(item, Repeat) and item.least > 0:
+            out = _all(out, _query(item.item))
     return _all(out, _of_strings(run))
 
 
 def trigram_query(pattern: str) -> Query:
     """Alternatives of trigrams, over folded text, one of which any text with a match holds entirely."""
-    return _query(_parser.parse(pattern))
+    return _query(parsed(pattern))
 
 
 def _numbers(rules: tuple[SecretRule, ...]) -> dict[str, int]:
