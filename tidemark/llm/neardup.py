@@ -22,6 +22,9 @@ from tidemark.llm.bytewords import BLANK_SPLIT_FOLDED, U64, mix, whole, windows,
 from tidemark.llm.common import blocks, discard, id_text, joinable, staged
 from tidemark.llm.graph import components
 
+#: Members of a rare shingle that one task compares with its leaders.
+CROWD = 2048
+
 
 def _shingles(buf: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Both hashes of the shingles of a block of texts (with repeats), and where each text's begin."""
@@ -60,7 +63,7 @@ def signatures(docs: DataFrame, *, shingle: int, m: int, t: int, seed: int = 11)
                 for i in range(hi - lo):
                     if first[i + 1] > first[i]:
                         own, at = np.unique(sh[first[i] : first[i + 1]], return_index=True)
-                        n[i], digest[i] = len(own), hashlib.blake2b(own.tobytes() + more[first[i] + at].tobytes(), digest_size=16).digest()
+                        n[i], digest[i] = len(own), _digest(own, more[first[i] + at])
                 full = np.flatnonzero(n)
                 tuples = np.zeros((hi - lo, 2 * m), np.uint64)
                 if len(full):
@@ -78,33 +81,39 @@ def signatures(docs: DataFrame, *, shingle: int, m: int, t: int, seed: int = 11)
     return id_text(docs).mapInArrow(sign, "doc_id long, n_shingles long, digest binary, left array<long>, right array<long>")
 
 
+def _digest(shingles: np.ndarray, more: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes() + more.tobytes(), digest_size=16).digest()
+
+
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, shingles: the sorted 64-bit hashes of the whole set."""
+    """doc_id, digest, shingles, more: the whole set by 128-bit hashes, sorted by the half in `shingles`; digest as in signatures()."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in blocks(batch.column(1)):
-                sh, _, first = _shingles(buf, offsets, shingle)
-                own = [np.unique(sh[first[i] : first[i + 1]]) for i in range(hi - lo)]
-                ends = np.cumsum([0, *map(len, own)], dtype=np.int32)
-                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), column], ["doc_id", "shingles"])
+                sh, more, first = _shingles(buf, offsets, shingle)
+                own = [np.unique(sh[first[i] : first[i + 1]], return_index=True) for i in range(hi - lo)]
+                both = [(x, more[first[i] + at]) for i, (x, at) in enumerate(own)]
+                ends = pa.array(np.cumsum([0, *[len(x) for x, _ in both]], dtype=np.int32))
+                halves = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(half).view(np.int64))) for half in zip(*both, strict=True)]
+                digest = pa.array([_digest(*pair) for pair in both], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), digest, *halves], ["doc_id", "digest", "shingles", "more"])
 
-    return id_text(docs).mapInArrow(sets, "doc_id long, shingles array<long>")
+    return id_text(docs).mapInArrow(sets, "doc_id long, digest binary, shingles array<long>, more array<long>")
 
 
-def _alike(one: Column, other: Column, percent: int) -> Column:
+def _alike(one: list[Column], other: list[Column], percent: int) -> Column:
     @F.arrow_udf(BooleanType())
-    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
+    def alike(a: pa.Array, a_more: pa.Array, b: pa.Array, b_more: pa.Array) -> pa.Array:
         out = np.zeros(len(a), bool)
         for i in range(len(a)):
-            x, y = a[i].values.to_numpy(zero_copy_only=False).view(np.uint64), b[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-            at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
+            x, x_more, y, y_more = (c[i].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in (a, a_more, b, b_more))
+            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            both = int(((y[at] == x) & (y_more[at] == x_more)).sum()) if len(y) else 0
             out[i] = 100 * both >= percent * (len(x) + len(y) - both)
         return pa.array(out)
 
-    return alike(one, other)
+    return alike(*one, *other)
 
 
 def _may_link(n1: str, own1: str, n2: str, own2: str, percent: int) -> Column:
@@ -115,9 +124,33 @@ def _may_link(n1: str, own1: str, n2: str, own2: str, percent: int) -> Column:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (lead, member) in link. A member's set meets its lead's in the last join, so a lead's set is not shuffled for each member."""
-    own = sets.select(F.col("doc_id").alias("member"), F.col("shingles").alias("one"))
-    lead = sets.select(F.col("doc_id").alias("lead"), F.col("shingles").alias("other"))
-    return pairs.join(own, "member").join(lead, "lead").filter(_alike(F.col("one"), F.col("other"), percent)).select(F.col("lead").alias("u"), F.col("member").alias("v"))
+    own = sets.select(F.col("rep").alias("member"), F.col("shingles").alias("one"), F.col("more").alias("one_more"))
+    lead = sets.select(F.col("rep").alias("lead"), F.col("shingles").alias("other"), F.col("more").alias("other_more"))
+    alike = _alike([F.col("one"), F.col("one_more")], [F.col("other"), F.col("other_more")], percent)
+    return pairs.join(own, "member").join(lead, "lead").filter(alike).select(F.col("lead").alias("u"), F.col("member").alias("v"))
+
+
+def _classes(named: DataFrame, split: DataFrame | None) -> DataFrame:
+    """A row for each distinct set: digest, rep, doc_id, n, left, right.
+
+    doc_id: a document that has the set. rep, which stands for it in the graph, is the smallest id that has this set alone, or, where all have
+    others too, a number below all ids.
+    """
+    alone = F.lit(True)
+    if split is not None:
+        named = named.join(joinable(split.select("doc_id", F.lit(True).alias("_split"))), "doc_id", "left")
+        alone = F.col("_split").isNull()
+    reps = named.groupBy("digest").agg(F.min(F.when(alone, F.col("doc_id"))).alias("rep"), F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
+    if split is not None:
+        least = min(0, named.agg(F.min("doc_id")).first()[0] or 0)
+        reps = reps.withColumn("doc_id", F.coalesce("rep", "doc_id")).withColumn("rep", F.coalesce(F.col("rep"), F.lit(least - 1) - F.monotonically_increasing_id()))
+    return staged(reps, "classes")
+
+
+def _one_document(named: DataFrame, reps: DataFrame, split: DataFrame) -> DataFrame:
+    """Edges between the sets of one id."""
+    own = named.join(joinable(split.select("doc_id")), "doc_id", "left_semi").select("doc_id", "digest").distinct().join(reps.select("digest", "rep"), "digest")
+    return own.join(own.groupBy("doc_id").agg(F.min("rep").alias("u")), "doc_id").select("u", F.col("rep").alias("v"))
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
@@ -144,16 +177,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     Members of buckets whose other members then still are of several components meet once more by their
     rarest shingles, one of which any link shares: some members of each group, more each round, are compared
     with those of other components, until every pair is joined, tried or excluded by the places of
-    what it shares. No bucket or group is capped. Two sets are compared by 64-bit hashes of all their
-    shingles, made of 128-bit hashes of words; sets are told apart in the corpus by all 128 bits.
+    what it shares. No bucket or group is capped. Sets are told apart and compared by 128-bit hashes of their shingles.
 
     Null, empty and blank texts: n_shingles 0, linked with nothing, kept. A null doc_id: component_id
-    null, kept. Rows that share a doc_id are one document; each gets a row. No rows: no rows.
+    null, kept. Rows that share a doc_id are one document, linked with whatever any of its texts is linked with; each gets
+    a row with its own n_shingles. No rows: no rows.
     """
     sig = staged(signatures(docs, shingle=shingle, m=m, t=t), "signatures")
     named = sig.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    reps = named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
-    reps = staged(reps, "classes")
+    per_id = sig.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("z"), (F.count("*") > F.count("digest")).alias("blank"))
+    split = staged(per_id.filter("a <> z or (blank and a is not null)").select("doc_id"), "split")
+    some_split = not split.isEmpty()  # ids with several texts
+    reps = _classes(named, split if some_split else None)
 
     # who meets nobody in any left tuple is in no table with another
     half = reps.select("rep", F.explode("left").alias("key"))
@@ -163,12 +198,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     keyed = staged(reps.join(alive, "rep").select("rep", F.explode(pairs_of).alias("key")), "tables")
 
     busy = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    wanted = keyed.join(busy, "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    sets = shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), shingle)
-    sets = staged(sets.dropDuplicates(["doc_id", "shingles"]), "sets")
-    owner = sets.select("doc_id", F.explode("shingles").alias("x")).groupBy("x").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"))
+    wanted = keyed.join(busy, "key", "left_semi").select("rep").distinct()
+    if some_split:
+        wanted = staged(wanted.join(reps.select("rep", "doc_id", "digest"), "rep"), "wanted")
+        sets = shingle_sets(docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id"), shingle)
+        sets = sets.dropDuplicates(["doc_id", "digest"]).join(wanted, ["doc_id", "digest"])
+    else:
+        sets = shingle_sets(docs.select("doc_id", "text").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id"), shingle)
+        sets = sets.dropDuplicates(["doc_id", "digest"]).withColumnRenamed("doc_id", "rep")
+    sets = staged(sets.select("rep", "shingles", "more"), "sets")
+    owner = sets.select("rep", F.explode("shingles").alias("x")).groupBy("x").agg(F.min("rep").alias("rep"), F.count("*").alias("c"))
     own = owner.filter("c = 1").groupBy("rep").agg(F.count("*").alias("own"))
-    able = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").cast("long").alias("n")).join(own, "rep", "left").fillna(0, ["own"])
+    able = sets.select("rep", F.size("shingles").cast("long").alias("n")).join(own, "rep", "left").fillna(0, ["own"])
     able = staged(able.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent).select("rep", "n", "own", F.struct((F.col("own") / F.col("n")).alias("share"), "rep").alias("order")), "able")
 
     # leads stand in tables of their own, so that the join with a hot bucket's members can be split
@@ -178,7 +219,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     shared = met.join(joinable(lead), "key")
     others = shared.filter("rep <> l.rep")
     pairs = others.filter(_may_link("n", "own", "l.n", "l.own", percent)).select(F.col("l.rep").alias("lead"), F.col("rep").alias("member")).distinct()
-    comp = staged(components(_confirmed(pairs, sets, percent)), "components")
+    links = _confirmed(pairs, sets, percent)
+    comp = staged(components(links.unionByName(_one_document(named, reps, split)) if some_split else links), "components")
 
     # the lead has been compared with all in its bucket; if the others are of several components, they meet once more, by the tokens that a link must share
     of_rep = able.select("rep", "n").join(joinable(comp).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -188,7 +230,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     discard(keyed, met, lead)
     # members of a group take the lead in the order of a hash, so no group is ranked; `turn` runs from 0 to the group's size
     shown = F.pmod(F.xxhash64(F.lit("turn"), "rep"), F.lit(1 << 30)) / F.lit(1 << 30)
-    member = _prefixes(sets.withColumnRenamed("doc_id", "rep").join(left_open.select("rep"), "rep"), percent).join(left_open, "rep")
+    member = _prefixes(sets.join(left_open.select("rep"), "rep"), percent).join(left_open, "rep")
     member = staged(member.withColumn("order", F.struct(shown.alias("u"), "rep")), "prefixes")
     lo, hi, most = 0, 8, None
     while most is None or lo < most:
@@ -199,14 +241,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
         most, rows, squares = member.agg(F.coalesce(F.max("size"), F.lit(0)), F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
         if lo >= most:
             break
-        if squares <= 64 * rows:  # groups are small: the rest at once
+        if squares <= 64 * rows and most <= CROWD:  # groups are small: the rest at once
             hi = most
         turn = F.col("order.u") * F.col("size")
-        leader = member.filter((turn >= lo) & (turn < hi)).select("token", *[F.col(c).alias(f"{c}_") for c in ("rep", "n", "place", "order", "component")])
+        # a token of many members is dealt over parts, each of which meets all of its leaders
+        parts = F.ceil(F.col("size") / CROWD).cast("int")
+        dealt = member.withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
+        leader = member.filter((turn >= lo) & (turn < hi)).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        leader = leader.select("token", "part", *[F.col(c).alias(f"{c}_") for c in ("rep", "n", "place", "order", "component")])
         left, left_ = F.col("n") - F.col("place"), F.col("n_") - F.col("place_")
         bound = F.least(left, left_)
         may = bound * 100 >= (F.col("n") + F.col("n_") - bound) * percent
-        more = member.join(leader, (member["token"] == leader["token"]) & (F.col("order") > F.col("order_")) & (F.col("component") != F.col("component_")) & may)
+        more = dealt.join(leader, ["token", "part"]).filter((F.col("order") > F.col("order_")) & (F.col("component") != F.col("component_")) & may)
         found = staged(_confirmed(more.select(F.col("rep_").alias("lead"), F.col("rep").alias("member")).distinct(), sets, percent), "links")
         if not found.isEmpty():
             last, comp = comp, staged(components(found.unionByName(comp.select(F.col("component").alias("u"), F.col("node").alias("v")))), "components")
@@ -221,6 +267,13 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     of = of.select("digest", F.coalesce("component", "rep").alias("component_id"))
     linked = named.select("doc_id", "n_shingles", "digest").join(of, "digest").select("doc_id", "n_shingles", "component_id")
     alone = sig.filter(F.col("digest").isNull() | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    if some_split:  # their components are named again, as their ids and the numbers below all ids are no names among the others
+        linked = staged(linked, "linked")
+        touched = linked.join(joinable(split), "doc_id", "left_semi").select("component_id").distinct()
+        names = staged(linked.join(touched, "component_id", "left_semi").groupBy("component_id").agg(F.min("doc_id").alias("name")), "names")
+        linked = linked.join(joinable(names), "component_id", "left").select("doc_id", "n_shingles", F.coalesce("name", "component_id").alias("component_id"))
+        own = linked.join(joinable(split), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("name"))
+        alone = alone.join(own, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("name", "component_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
