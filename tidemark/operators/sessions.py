@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SESSION_CUTOFF = 3 * 3600 * 1000
@@ -37,8 +37,63 @@ def app_sessions(events: DataFrame) -> DataFrame:
     )
     nxt = Window.partitionBy("userId").orderBy("segment")
     segments = segments.withColumn("next_start", F.lead("start").over(nxt)).withColumn("next_kind", F.lead("first").over(nxt))
-    end = F.when(F.col("next_start").isNull() | ((F.col("next_kind") == "U") & F.col("seen")), F.col("last")).otherwise(F.col("next_start"))
-    kept = segments.filter((F.col("first") != "L") & F.col("app").isNotNull() & (F.col("next_start").isNotNull() | F.col("seen")))
+    return _closed(segments, F.col("next_start").isNull())
+
+
+def _same(rows: DataFrame, other: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """rows with the columns of the row of `other` that has the same keys; null is a key like others."""
+    named = other.withColumnsRenamed({k: f"_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return rows.join(named, on, how).drop(*[f"_{k}" for k in keys])
+
+
+def sliced_app_sessions(events: DataFrame, *, slice_millis: int = 7 * 86_400_000) -> DataFrame:
+    """As app_sessions(), with a user's history cut into slices of time that different tasks work on.
+
+    What decides a row are running values that merge: the last lock or unlock, the last app told, the last row that is not
+    absorbed, the number of segments. Each slice says what it adds to them, a scan over a user's slices (a few
+    numbers each) tells what comes in, and the slice's rows take that where its own rows have not told yet. Segments that reach over slices
+    are merged by their number. The cut does not change the result.
+    """
+    rows = events.withColumn("slice", F.coalesce(F.floor(F.col("time") / slice_millis), F.lit(-1 << 62)))
+    order = F.struct("time", "rank", "id")
+    w = Window.partitionBy("userId", "slice").orderBy("time", "rank", "id")
+    so_far, before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), w.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("userId").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+
+    gates = rows.groupBy("userId", "slice").agg(F.max_by("kind", F.when(F.col("kind") != "S", order)).alias("gate"), F.max(F.col("kind") != "S").alias("any"))
+    gates = gates.select("userId", "slice", F.last(F.when(F.col("any"), F.col("gate")), ignorenulls=True).over(earlier).alias("gate_in"))
+    gate = F.coalesce(F.last(F.when(F.col("kind") != "S", F.col("kind")), ignorenulls=True).over(before), F.col("gate_in"))
+    rows = _same(rows, gates, "userId", "slice").withColumn("absorbed", F.coalesce((gate == "L") & (F.col("kind") != "U"), F.lit(False)))
+    told = F.when(F.col("kind") == "S", F.struct(F.col("app").alias("v"))).when(F.col("absorbed"), F.struct(F.lit(None).cast("string").alias("v")))
+    rows = rows.withColumn("told", F.last(told, ignorenulls=True).over(so_far)).drop("gate_in", "app")
+
+    kept_order = F.when(~F.col("absorbed"), order)
+    adds = rows.groupBy("userId", "slice").agg(F.max_by("told", order).alias("told"), F.max_by(F.struct("kind", "told"), kept_order).alias("kept"), F.max(~F.col("absorbed")).alias("any"))
+    comes = adds.withColumn("app_in", F.last("told", ignorenulls=True).over(earlier)["v"])
+    kept = F.when(F.col("any"), F.struct(F.col("kept.kind"), F.when(F.col("kept.told").isNull(), F.col("app_in")).otherwise(F.col("kept.told.v")).alias("app")))
+    comes = comes.withColumn("kept", kept).select("userId", "slice", "app_in", F.last("kept", ignorenulls=True).over(earlier).alias("kept_in"))
+    rows = _same(rows.filter(~F.col("absorbed")), comes, "userId", "slice")
+    rows = rows.withColumn("app", F.when(F.col("told").isNull(), F.col("app_in")).otherwise(F.col("told.v")))
+    last = F.coalesce(F.lag(F.struct("kind", "app")).over(w), F.col("kept_in"))
+    goes_on = (F.col("kind") == "S") & last["kind"].isin("S", "U") & last["app"].eqNullSafe(F.col("app"))
+    rows = rows.withColumn("own", F.sum(F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).over(so_far))
+
+    def merged(over: DataFrame, *keys: str) -> DataFrame:
+        return over.groupBy(*keys).agg(F.min("start").alias("start"), F.max("last").alias("last"), F.max("seen").alias("seen"), F.min_by("first", "at").alias("first"), F.min_by("app", "at").alias("app"), F.min("at").alias("at"))
+
+    pieces = merged(rows.select("userId", "slice", "own", F.col("time").alias("start"), F.col("time").alias("last"), (F.col("kind") == "S").alias("seen"), F.col("kind").alias("first"), "app", order.alias("at")), "userId", "slice", "own")
+    counts = pieces.groupBy("userId", "slice").agg(F.max("own").alias("n")).select("userId", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    segments = merged(_same(pieces, counts, "userId", "slice").withColumn("segment", F.col("base") + F.col("own")), "userId", "segment")
+    following = segments.select("userId", (F.col("segment") - 1).alias("segment"), F.col("start").alias("next_start"), F.col("first").alias("next_kind"), F.lit(True).alias("more"))
+    segments = _same(segments, following, "userId", "segment", how="left")
+    return _closed(segments, F.col("more").isNull())
+
+
+def _closed(segments: DataFrame, is_last: Column) -> DataFrame:
+    """Sessions from segments and what follows them."""
+    end = F.when(is_last | ((F.col("next_kind") == "U") & F.col("seen")), F.col("last")).otherwise(F.col("next_start"))
+    kept = segments.filter((F.col("first") != "L") & F.col("app").isNotNull() & (~is_last | F.col("seen")))
     return kept.select("userId", F.col("start").alias("time"), (end - F.col("start")).alias("duration"), "app")
 
 

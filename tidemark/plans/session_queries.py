@@ -42,6 +42,15 @@ def app_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.app_sessions(ad.window_events(spark, sf_dir))
 
 
+_ONE = "we as (select * replace (0 as userId) from we_all)"
+
+
+@query(_with(ad.EV, ad.WINDOW_EVENTS.replace("we as", "we_all as", 1), _ONE, _APP_SESSIONS) + "select * from app_sessions")
+def app_sessions_one_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one user's, whose history is worked on in slices of a day."""
+    return sessions.sliced_app_sessions(ad.window_events(spark, sf_dir).withColumn("userId", F.lit(0).cast("long")), slice_millis=DAY)
+
+
 _SINCE, _UNTIL = 1_704_240_000_000, 1_706_000_000_000
 
 
