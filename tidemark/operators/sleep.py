@@ -1,4 +1,4 @@
-"""Sleep from a five-minute signal of phone use."""
+"""Sleep from a five-minute signal of phone use: over all its windows, and the tables of the pipeline over its runs."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.median import median_filter, median_long
 from tidemark.functions.timebuckets import day_start, floor_epoch, time_of_day
+from tidemark.operators import runs
 from tidemark.schema import DAILY, DAY, FIVE_MIN
 
 
@@ -61,11 +62,11 @@ def filtered(signal: DataFrame) -> DataFrame:
     return median_filter(signal, "value", by="userId", order=["timeWindow"])
 
 
-def _branch(signal: DataFrame, prefix: str) -> Iterator[tuple[str, DataFrame]]:
-    periods = quiet_periods(signal)
+def _branch(of: DataFrame, prefix: str) -> Iterator[tuple[str, DataFrame]]:
+    periods = runs.quiet_periods(of)
     yield f"{prefix}_no_interaction_period", periods
     yield f"{prefix}_daily_sleep", daily_sleep(periods)
-    profile = daily_profile(drop_idle_days(signal))
+    profile = runs.daily_profile(runs.without_idle_days(of))
     yield f"{prefix}_median_daily_profile", profile
     yield f"{prefix}_median_daily_sleep", profile_sleep(profile)
 
@@ -77,19 +78,20 @@ def _as_it_is(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def smooth_tables(signal: DataFrame, keep: Keep = _as_it_is) -> dict[str, DataFrame]:
-    """The tables of the median-filtered branch over a signal."""
-    smooth = keep("median_filter_signal", filtered(signal))
-    return {"median_filter_signal": smooth, "clean_median_filter_signal": drop_idle_days(smooth)} | dict(_branch(smooth, "median_filter"))
+def smooth_tables(of: DataFrame, keep: Keep = _as_it_is) -> dict[str, DataFrame]:
+    """The tables of the median-filtered branch over the runs of a signal."""
+    smooth = keep("median_filter_runs", runs.smoothed(of))
+    clean = runs.without_idle_days(smooth)
+    return {"median_filter_signal": runs.all_windows(smooth), "clean_median_filter_signal": runs.all_windows(clean)} | dict(_branch(smooth, "median_filter"))
 
 
 def sleep_tables(entries: DataFrame, inactivity: DataFrame, *, gapped: bool = False, keep: Keep = _as_it_is) -> dict[str, DataFrame]:
     """All tables of the pipeline by name, from five-minute entries of app use and pauses between phone sessions.
 
     gapped: the moving median runs over the signal without idle days, so its windows cross the gaps. keep: what becomes of
-    the signals that several tables are made of; a job writes them and reads them back, so none is made twice.
+    the runs that several tables are made of; a job writes them and reads them back, so none is made twice.
     """
-    signal = keep("no_filter_signal", usage_signal(entries))
-    clean = keep("clean_no_filter_signal", drop_idle_days(signal))
-    tables = {"inactivity_based_daily_sleep": daily_sleep(inactivity_periods(inactivity)), "no_filter_signal": signal, "clean_no_filter_signal": clean}
-    return tables | dict(_branch(signal, "no_filter")) | smooth_tables(clean if gapped else signal, keep)
+    own = keep("no_filter_runs", runs.usage_runs(entries))
+    clean = keep("clean_no_filter_runs", runs.without_idle_days(own))
+    tables = {"inactivity_based_daily_sleep": daily_sleep(inactivity_periods(inactivity)), "no_filter_signal": runs.all_windows(own), "clean_no_filter_signal": runs.all_windows(clean)}
+    return tables | dict(_branch(own, "no_filter")) | smooth_tables(clean if gapped else own, keep)

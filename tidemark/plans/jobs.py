@@ -129,7 +129,7 @@ def locations(spark: SparkSession, base: str) -> None:
 def sleeps(spark: SparkSession, base: str) -> None:
     """The sleep tables; those of the moving median also with it over the signal without idle days (gapped_..).
 
-    A signal is written first and read back by the tables made of it.
+    The runs of a signal are written first (.._runs) and read back by the tables made of them.
     """
     entries = tables.read_aggregate(spark, base, "app_total_duration", FIVE_MIN)
     written: set[str] = set()
@@ -143,7 +143,7 @@ def sleeps(spark: SparkSession, base: str) -> None:
         return read_back
 
     found = sleep.sleep_tables(entries, spark.read.parquet(f"{base}/phone_inactivity_sessions"), keep=keep(""))
-    gapped = sleep.smooth_tables(spark.read.parquet(f"{base}/clean_no_filter_signal"), keep("gapped_"))
+    gapped = sleep.smooth_tables(spark.read.parquet(f"{base}/clean_no_filter_runs"), keep("gapped_"))
     for name, df in {**found, **{f"gapped_{n}": df for n, df in gapped.items()}}.items():
         if name not in written:
             _write(df, base, name)

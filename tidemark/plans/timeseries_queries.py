@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.median import lower_median, median_long
-from tidemark.operators import aggregates, sleep
+from tidemark.operators import aggregates, runs, sleep
 from tidemark.plans import adapter as ad
 from tidemark.plans import session_queries as sq
 from tidemark.plans.aggregate_queries import _with, split_sql
@@ -16,6 +16,10 @@ from tidemark.schema import DAY, FIVE_MIN
 _STEP = FIVE_MIN.millis
 
 
+def _runs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.usage_runs(_entries(spark, sf_dir))
+
+
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     kv = ad.sessions(spark, sf_dir).select("userId", "time", "duration", F.col("app").alias("key"))
     return aggregates.sum_events(kv, FIVE_MIN)
@@ -60,12 +64,12 @@ _HEAD = (ad.EV, ad.SESSIONS, _USE, _SIGNAL)
 
 @query(_with(*_HEAD) + "select * from signal")
 def usage_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sleep.usage_signal(_entries(spark, sf_dir))
+    return runs.all_windows(_runs_of(spark, sf_dir))
 
 
 @query(_with(*_HEAD, _clean("clean", "signal")) + "select * from clean")
 def clean_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sleep.drop_idle_days(usage_signal(spark, sf_dir))
+    return runs.all_windows(runs.without_idle_days(_runs_of(spark, sf_dir)))
 
 
 _MEDIAN = "trunc(case len(w) % 2 when 1 then w[len(w) // 2 + 1]::double else (w[len(w) // 2] + w[len(w) // 2 + 1]) / 2.0 end)::bigint"
@@ -78,17 +82,17 @@ def _smooth_sql(name: str, of: str) -> str:
 
 @query(_with(*_HEAD, _smooth_sql("smooth", "signal")) + "select * from smooth")
 def median_filter_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sleep.filtered(usage_signal(spark, sf_dir))
+    return runs.all_windows(runs.smoothed(_runs_of(spark, sf_dir)))
 
 
 @query(_with(*_HEAD, _clean("clean", "signal"), _smooth_sql("smooth", "clean")) + "select * from smooth")
 def median_filter_gapped_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sleep.filtered(clean_signal(spark, sf_dir))
+    return runs.all_windows(runs.smoothed(runs.without_idle_days(_runs_of(spark, sf_dir))))
 
 
 @query(_with(*_HEAD, _runs("periods", "signal")) + "select * from periods")
 def no_interaction_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sleep.quiet_periods(usage_signal(spark, sf_dir))
+    return runs.quiet_periods(_runs_of(spark, sf_dir))
 
 
 @query(_with(*_HEAD, _runs("periods", "signal"), _longest("longest", "periods")) + "select * from longest")
@@ -98,7 +102,7 @@ def daily_sleep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_with(*_HEAD, _clean("clean", "signal"), _profile("profile", "clean")) + "select * from profile")
 def median_daily_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sleep.daily_profile(clean_signal(spark, sf_dir))
+    return runs.daily_profile(runs.without_idle_days(_runs_of(spark, sf_dir)))
 
 
 @query(_with(*_HEAD, _clean("clean", "signal"), _profile("profile", "clean"), _twice("twice", "profile"), _runs("periods", "twice"), _longest("longest", "periods")) + "select * from longest")
