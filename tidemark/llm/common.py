@@ -82,6 +82,41 @@ def joinable(table: DataFrame, most: int = SMALL, otherwise: str = "merge") -> D
     return F.broadcast(table) if table.count() <= most else table.hint(otherwise)
 
 
+SIEVE_BITS = 1 << 27  # 16 MB, of 4 KB a row
+
+
+def sieve(rows: DataFrame, key: str, keys: DataFrame, least: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among `keys`, the others), so that a join with `keys` need shuffle only the former.
+
+    keys: a staged table with the same column, without repeats. A bitmap of 16 bits a counted key, SIEVE_BITS at most, is
+    broadcast; where it would hold less than two bits a key all rows may be among them. Null keys are among the others.
+    """
+    n = keys.count()
+    bits = min(SIEVE_BITS, max(least, 1 << (16 * n).bit_length()))
+    if n > bits // 2:
+        return rows, rows.limit(0)
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(bits))
+    own, chunk, bit = (fresh(rows, x) for x in ("_chunk", "_bits", "_bit"))
+    maps = keys.select(place.alias(bit)).groupBy(F.bitmap_bucket_number(bit).alias(own)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias(chunk))
+    marked = rows.withColumn(bit, F.when(F.col(key).isNotNull(), place)).withColumn(f"{own}_", F.bitmap_bucket_number(bit))
+    marked = marked.join(F.broadcast(maps), F.col(f"{own}_") == F.col(own), "left")
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col(chunk), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    there = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    found = marked.withColumn(chunk, there).drop(bit, own, f"{own}_")
+    return found.filter(F.col(chunk)).drop(chunk), found.filter(~F.col(chunk)).drop(chunk)
+
+
+def without(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """rows whose key is not among the staged `keys`; only those that may be are shuffled. Null keys stay."""
+    own = fresh(rows, "_key")
+    cast = rows.withColumn(own, F.col(key).cast("long"))
+    if keys.count() <= SMALL:
+        return cast.join(F.broadcast(keys.select(F.col(key).alias(own))), own, "left_anti").drop(own)
+    may, others = sieve(cast, own, keys.select(F.col(key).alias(own)))
+    return others.unionByName(may.join(keys.select(F.col(key).alias(own)), own, "left_anti")).drop(own)
+
+
 def id_text(docs: DataFrame) -> DataFrame:
     """(doc_id, body): the id and the UTF-8 bytes of the whole text, null as empty."""
     return docs.select(

@@ -10,6 +10,7 @@ with probability (1 - (1 - s^t)^m)^2: with m = 8, t = 2 that is 0.9999 at 0.85 a
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from tidemark.llm.bytewords import BLANK_SPLIT_FOLDED, U64, mix, whole, windows, words
-from tidemark.llm.common import blocks, discard, id_text, joinable, staged
+from tidemark.llm.common import blocks, discard, id_text, joinable, sieve, staged, without
 from tidemark.llm.graph import components
 
 #: Members of a rare shingle that one task compares with its leaders.
@@ -85,35 +86,39 @@ def _digest(shingles: np.ndarray, more: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes() + more.tobytes(), digest_size=16).digest()
 
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, digest, shingles, more: the whole set by 128-bit hashes, sorted by the half in `shingles`; digest as in signatures()."""
+def shingle_sets(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """doc_id, digest, shingles: the whole set as sorted 64-bit numbers, made of both hashes of each shingle and the seed; digest as in signatures()."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, buf, offsets in blocks(batch.column(1)):
                 sh, more, first = _shingles(buf, offsets, shingle)
-                own = [np.unique(sh[first[i] : first[i + 1]], return_index=True) for i in range(hi - lo)]
-                both = [(x, more[first[i] + at]) for i, (x, at) in enumerate(own)]
-                ends = pa.array(np.cumsum([0, *[len(x) for x, _ in both]], dtype=np.int32))
-                halves = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(half).view(np.int64))) for half in zip(*both, strict=True)]
-                digest = pa.array([_digest(*pair) for pair in both], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), digest, *halves], ["doc_id", "digest", "shingles", "more"])
+                digests, own = [], []
+                for i in range(hi - lo):
+                    x, at = np.unique(sh[first[i] : first[i + 1]], return_index=True)
+                    y = more[first[i] + at]
+                    digests.append(_digest(x, y))
+                    own.append(np.sort(mix(mix(x ^ U64(seed)) + y)))
+                ends = pa.array(np.cumsum([0, *map(len, own)], dtype=np.int32))
+                column = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(own).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(digests, pa.binary()), column], ["doc_id", "digest", "shingles"])
 
-    return id_text(docs).mapInArrow(sets, "doc_id long, digest binary, shingles array<long>, more array<long>")
+    return id_text(docs).mapInArrow(sets, "doc_id long, digest binary, shingles array<long>")
 
 
-def _alike(one: list[Column], other: list[Column], percent: int) -> Column:
+def _alike(one: Column, other: Column, percent: int) -> Column:
     @F.arrow_udf(BooleanType())
-    def alike(a: pa.Array, a_more: pa.Array, b: pa.Array, b_more: pa.Array) -> pa.Array:
+    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
         out = np.zeros(len(a), bool)
         for i in range(len(a)):
-            x, x_more, y, y_more = (c[i].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in (a, a_more, b, b_more))
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = int(((y[at] == x) & (y_more[at] == x_more)).sum()) if len(y) else 0
+            x, y = a[i].values.to_numpy(zero_copy_only=False), b[i].values.to_numpy(zero_copy_only=False)
+            x, y = x.view(np.uint64), y.view(np.uint64)
+            at = np.searchsorted(y, x)
+            both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
             out[i] = 100 * both >= percent * (len(x) + len(y) - both)
         return pa.array(out)
 
-    return alike(*one, *other)
+    return alike(one, other)
 
 
 def _may_link(n1: str, own1: str, n2: str, own2: str, percent: int) -> Column:
@@ -124,10 +129,9 @@ def _may_link(n1: str, own1: str, n2: str, own2: str, percent: int) -> Column:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (lead, member) in link. A member's set meets its lead's in the last join, so a lead's set is not shuffled for each member."""
-    own = sets.select(F.col("rep").alias("member"), F.col("shingles").alias("one"), F.col("more").alias("one_more"))
-    lead = sets.select(F.col("rep").alias("lead"), F.col("shingles").alias("other"), F.col("more").alias("other_more"))
-    alike = _alike([F.col("one"), F.col("one_more")], [F.col("other"), F.col("other_more")], percent)
-    return pairs.join(own, "member").join(lead, "lead").filter(alike).select(F.col("lead").alias("u"), F.col("member").alias("v"))
+    own = sets.select(F.col("rep").alias("member"), F.col("shingles").alias("one"))
+    lead = sets.select(F.col("rep").alias("lead"), F.col("shingles").alias("other"))
+    return pairs.join(own, "member").join(lead, "lead").filter(_alike(F.col("one"), F.col("other"), percent)).select(F.col("lead").alias("u"), F.col("member").alias("v"))
 
 
 def _classes(named: DataFrame, split: DataFrame | None) -> DataFrame:
@@ -177,7 +181,9 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     Members of buckets whose other members then still are of several components meet once more by their
     rarest shingles, one of which any link shares: some members of each group, more each round, are compared
     with those of other components, until every pair is joined, tried or excluded by the places of
-    what it shares. No bucket or group is capped. Sets are told apart and compared by 128-bit hashes of their shingles.
+    what it shares. No bucket or group is capped. Sets are told apart by 128-bit hashes of their shingles, and two are compared by
+    64 bits of a shingle, made of all 128 and a number drawn for the run: texts can't be built to collide, and chance gives
+    two sets of 100 000 shingles a false common one in 1 of 10^9 pairs.
 
     Null, empty and blank texts: n_shingles 0, linked with nothing, kept. A null doc_id: component_id
     null, kept. Rows that share a doc_id are one document, linked with whatever any of its texts is linked with; each gets
@@ -185,9 +191,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
     """
     sig = staged(signatures(docs, shingle=shingle, m=m, t=t), "signatures")
     named = sig.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    per_id = sig.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("z"), (F.count("*") > F.count("digest")).alias("blank"))
-    split = staged(per_id.filter("a <> z or (blank and a is not null)").select("doc_id"), "split")
-    some_split = not split.isEmpty()  # ids with several texts
+    per_id = sig.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("z"), F.count("*").alias("rows"), F.count("digest").alias("full"))
+    repeated = staged(per_id.filter("rows > 1 and full > 0").select("doc_id", F.expr("a <> z or full < rows").alias("split")), "repeated")
+    some_repeated = not repeated.isEmpty()
+    split = repeated.filter("split").select("doc_id")  # ids with several texts
+    some_split = some_repeated and not split.isEmpty()
     reps = _classes(named, split if some_split else None)
 
     # who meets nobody in any left tuple is in no table with another
@@ -199,14 +207,15 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5, m:
 
     busy = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     wanted = keyed.join(busy, "key", "left_semi").select("rep").distinct()
-    if some_split:
-        wanted = staged(wanted.join(reps.select("rep", "doc_id", "digest"), "rep"), "wanted")
-        sets = shingle_sets(docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id"), shingle)
-        sets = sets.dropDuplicates(["doc_id", "digest"]).join(wanted, ["doc_id", "digest"])
-    else:
-        sets = shingle_sets(docs.select("doc_id", "text").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id"), shingle)
-        sets = sets.dropDuplicates(["doc_id", "digest"]).withColumnRenamed("doc_id", "rep")
-    sets = staged(sets.select("rep", "shingles", "more"), "sets")
+    wanted = staged(wanted.join(reps.select("rep", "doc_id", "digest"), "rep") if some_split else wanted.select("rep", F.col("rep").alias("doc_id")), "wanted")
+    asked = wanted.select("doc_id").distinct()
+    sets = shingle_sets(sieve(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", asked)[0].join(asked, "doc_id"), shingle, secrets.randbits(63))
+    if some_repeated:  # rows of one id and text once; the other ids' sets stay where they are
+        again = joinable(repeated.select("doc_id"))
+        sets = staged(sets, "sets-of-rows")
+        sets = sets.join(again, "doc_id", "left_anti").unionByName(sets.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "digest"]))
+    sets = sets.join(wanted, ["doc_id", "digest"]) if some_split else sets.withColumnRenamed("doc_id", "rep")
+    sets = staged(sets.select("rep", "shingles"), "sets")
     owner = sets.select("rep", F.explode("shingles").alias("x")).groupBy("x").agg(F.min("rep").alias("rep"), F.count("*").alias("c"))
     own = owner.filter("c = 1").groupBy("rep").agg(F.count("*").alias("own"))
     able = sets.select("rep", F.size("shingles").cast("long").alias("n")).join(own, "rep", "left").fillna(0, ["own"])
@@ -282,5 +291,5 @@ def drop_near_duplicates(docs: DataFrame, *, percent: int = 80, shingle: int = 5
 
     Rows of one doc_id stay or go together; a null doc_id stays.
     """
-    gone = near_duplicates(docs, percent=percent, shingle=shingle).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    gone = near_duplicates(docs, percent=percent, shingle=shingle).filter(~F.col("kept")).select("doc_id").distinct()
+    return without(docs, "doc_id", staged(gone, "gone"))
