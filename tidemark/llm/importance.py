@@ -1,11 +1,13 @@
 """Importance resampling towards a target: hashed n-gram counts of corpus and target weigh documents, Gumbel keys draw them.
 
-Each task hands its texts to a DuckDB of its own, which cuts them into words, makes n-grams by window functions and hashes them
-with a registered zlib CRC-32; the counts go to Parquet. Spark merges them, scores documents and ranks the drawn.
+Each task hands its texts to a DuckDB of its own, which cuts them into words, hashes these with a registered zlib CRC-32 and joins
+the hashes of neighbours, found by window functions, to those of n-grams (the CRC of a join follows from those of its parts); the counts
+go to Parquet. Spark merges them, scores documents and ranks the drawn.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import re
@@ -14,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,24 +25,29 @@ from pyspark.sql.types import LongType
 from tidemark.llm.common import blocks, discard, id_text, staged
 
 BUCKETS = 10_000
-BLOCK = 2 << 20  # bytes of text that DuckDB takes at once
+BLOCK = 1 << 19  # bytes of text that DuckDB takes at once
+_LONG = 255  # bytes that a CRC is shifted by at once
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _GAP = re.compile(rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
 
 _COUNTS = r"""
-with part as (
+with part as materialized (
   select n, piece, regexp_extract_all(core, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as own, regexp_extract_all(tail, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as more from texts
 ), word as (
-  select n, piece, len(own) as own, unnest(list_concat(own, more)) as w, unnest(range(1, len(own) + len(more) + 1)) as i from part
+  select n, piece, own, i, crc32(encode(w)) as c, octet_length(encode(w)) as l
+  from (select n, piece, len(own) as own, unnest(list_concat(own, more)) as w, unnest(range(1, len(own) + len(more) + 1)) as i from part)
 ), gram as (
-  select n, own, i, w, lead(w, 1) over seq as w2, lead(w, 2) over seq as w3 from word window seq as (partition by n, piece order by i)
+  select n, own, i, c, lead(c, 1) over seq as c2, lead(l, 1) over seq as l2, lead(c, 2) over seq as c3, lead(l, 2) over seq as l3 from word window seq as (partition by n, piece order by i)
+), two as (
+  select n, c, crc32_join(c, c2, l2) as cc, c3, l3 from gram where i <= own
 ), feature as (
-  select n, unnest([w, w || ' ' || w2, w || ' ' || w2 || ' ' || w3]) as f from gram where i <= own
+  select n, unnest([c, cc, crc32_join(cc, c3, l3)]) as f from two
 ), bucket as (
-  select n, crc32(encode(f)) % $buckets as b, count(*) as c from feature where f is not null group by all
+  select n, f % $buckets as b, count(*) as c from feature where f is not null group by all
 )
-select n, (select sum(len(own)) from part p where p.n = bucket.n)::bigint as n_words, sum(c)::bigint as n_features, list(b::smallint order by b) as buckets, list(c::int order by b) as counts from bucket group by n order by n
+select n, n_words, sum(c)::bigint as n_features, list(b::smallint) as buckets, list(c::int) as counts
+from bucket join (select n, sum(len(own))::bigint as n_words from part group by n) using (n) group by n, n_words order by n
 """
 
 
@@ -55,18 +63,56 @@ def _parts(body: bytes, most: int) -> Iterator[tuple[int, bytes, bytes]]:
             return
 
 
+@functools.cache
 def _connection():
+    """This worker's DuckDB: one thread, nothing on disk. A block needs some 100 MB."""
     import duckdb
 
-    con = duckdb.connect(config={"threads": 1})
+    con = duckdb.connect(config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
 
-    def crc32(features: pa.Array) -> pa.Array:
-        return pa.array(map(zlib.crc32, features.to_pylist()), pa.int64(), size=len(features))
+    def crc32(words: pa.Array) -> pa.Array:
+        return pa.array(list(map(zlib.crc32, words.to_numpy(zero_copy_only=False))), pa.int64())
+
+    def crc32_join(a: pa.Array, b: pa.Array, size: pa.Array) -> pa.Array:
+        none = b.is_null() if a.null_count == 0 else pc.or_(a.is_null(), b.is_null())
+        x, y, n = (c.fill_null(0).to_numpy(zero_copy_only=False) for c in (a, b, size))
+        return pa.array(joined(x, y, n), pa.int64(), mask=none.to_numpy(zero_copy_only=False))
 
     con.create_function("crc32", crc32, ["BLOB"], "BIGINT", type="arrow")
+    con.create_function("crc32_join", crc32_join, ["BIGINT", "BIGINT", "BIGINT"], "BIGINT", type="arrow", null_handling="special")
     return con
 
 
+@functools.cache
+def _shifts() -> np.ndarray:
+    """What zero bytes make of a CRC: by their number, and by place and value of each of the CRC's bytes."""
+    step = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        step = np.where(step & 1, (step >> 1) ^ np.uint32(0xEDB88320), step >> 1)
+    at = np.arange(256, dtype=np.uint32)[None] << np.arange(0, 32, 8, dtype=np.uint32)[:, None]
+    out = np.empty((_LONG + 1, 4, 256), np.uint32)
+    for n in range(_LONG + 1):
+        out[n] = at
+        at = step[at & 255] ^ (at >> 8)
+    return out
+
+
+def _shifted(crc: np.ndarray, n: np.ndarray) -> np.ndarray:
+    table, out = _shifts(), crc.astype(np.uint32)
+    while True:
+        now = np.minimum(n, _LONG)
+        out = table[now, 0, out & 255] ^ table[now, 1, out >> 8 & 255] ^ table[now, 2, out >> 16 & 255] ^ table[now, 3, out >> 24]
+        n = n - now
+        if not n.any():
+            return out
+
+
+def joined(a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRC-32 of A, a blank and B from the CRCs of A and B and the bytes of B."""
+    blank = np.full(len(a), zlib.crc32(b" "), np.uint32)
+    return (_shifted(a, size + 1) ^ _shifted(blank, size) ^ b.astype(np.uint32)).astype(np.int64)
+
+
 _SPILL = pa.schema([("n", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_features", pa.int64()), ("buckets", pa.list_(pa.int16())), ("counts", pa.list_(pa.int32()))])
 
 
@@ -100,7 +146,6 @@ def bucket_counts(texts: DataFrame, *, buckets: int = BUCKETS, block: int = BLOC
                 total += np.bincount(lists[0].flatten().to_numpy(), lists[1].flatten().to_numpy(), buckets).astype(np.int64)  # exact: far below 2^53
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + hi - lo)), ids.slice(lo, hi - lo), *numbers, *lists], schema=_SPILL)
                 row += hi - lo
-        con.close()
         while total.any():  # sums that pass 31 bits take several rows
             now = np.minimum(total, (1 << 31) - 1)
             some = np.flatnonzero(now)
