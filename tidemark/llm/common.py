@@ -108,13 +108,14 @@ def sieve(rows: DataFrame, key: str, keys: DataFrame, least: int = 1 << 20) -> t
 
 
 def without(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """rows whose key is not among the staged `keys`; only those that may be are shuffled. Null keys stay."""
+    """rows whose key is not in the one column of the staged `keys`; only those that may be are shuffled. Null keys stay."""
     own = fresh(rows, "_key")
-    cast = rows.withColumn(own, F.col(key).cast("long"))
+    kind = keys.schema[0].dataType
+    cast, gone = rows.withColumn(own, F.col(key).cast(kind)), keys.toDF(own)
     if keys.count() <= SMALL:
-        return cast.join(F.broadcast(keys.select(F.col(key).alias(own))), own, "left_anti").drop(own)
-    may, others = sieve(cast, own, keys.select(F.col(key).alias(own)))
-    return others.unionByName(may.join(keys.select(F.col(key).alias(own)), own, "left_anti")).drop(own)
+        return cast.join(F.broadcast(gone), own, "left_anti").drop(own)
+    may, others = sieve(cast, own, gone)
+    return others.unionByName(may.join(gone, own, "left_anti")).drop(own)
 
 
 def id_text(docs: DataFrame) -> DataFrame:

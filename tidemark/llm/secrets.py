@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, fresh, joinable, row_key, staged
+from tidemark.llm.common import SMALL, discard, fresh, row_key, sieve, staged
 from tidemark.llm.regexes import MOST, Either, Repeat, Run, parsed, spelt
 
 
@@ -195,7 +195,11 @@ def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, column:
         index = staged(posting_lists(docs.select(named.alias("key"), text.alias("body")), rules), "postings")
         left = staged(candidates(index, rules).select(F.col("key").alias(key), F.col("rules").alias(may)), "candidates")
         discard(index)
-        out = out.join(joinable(left, otherwise="shuffle_hash"), key, "left")
+        if left.count() <= SMALL:
+            out = out.join(F.broadcast(left), key, "left")
+        else:  # only texts that may be candidates move
+            some, others = sieve(out, key, left.select(key))
+            out = some.join(left.hint("shuffle_hash"), key, "left").unionByName(others, allowMissingColumns=True)
     else:
         out = out.withColumn(may, F.array().cast("array<int>"))
     none = F.array().cast(_SPAN)
