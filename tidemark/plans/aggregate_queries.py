@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import timebuckets as tb
 from tidemark.operators import aggregates as ag
 from tidemark.operators import categories as cat
+from tidemark.operators import distinct
 from tidemark.operators import summary as sm
 from tidemark.plans import adapter as ad
 from tidemark.plans.registry import query
 from tidemark.schema import DAILY, FIVE_MIN, GRANULARITIES, HOURLY, MONTHLY, SPECS, SUMMARY, WEEKLY, YEARLY, Granularity
+from tidemark.session import scratch
+from tidemark.sources import increments
 
 _UNIT = {"Hourly": "hour", "Daily": "day", "Weekly": "week", "Monthly": "month", "Yearly": "year"}
 
@@ -130,6 +133,29 @@ def metric_suite_all_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.suite(ad.event_tables(spark, sf_dir), SPECS, GRANULARITIES)
 
 
+@query(_with(ad.EV) + metric_entries_sql((HOURLY, DAILY)))
+def metrics_in_two_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """metric_suite as a table on disk: half of the events first, then the other half merged into the partitions it touches."""
+    base = scratch(spark, "increments")
+    for half in (0, 1):
+        found = {name: df.filter(F.pmod(F.xxhash64("time"), F.lit(2)) == half) for name, df in ad.event_tables(spark, sf_dir).items()}
+        increments.merge_aggregates(ag.suite(found, SPECS, (HOURLY, DAILY)), base)
+    return increments.read_all(spark, base)
+
+
+@query(
+    _BASE
+    + " union all ".join(f"select userId, b as time, {g.code}::bigint as granularity, 'key' as key, count(distinct key)::bigint as value from ({split_sql('kv', g.millis)}) group by userId, b" for g in (DAILY, WEEKLY, MONTHLY, YEARLY))
+)
+def distinct_keys_from_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct keys of days, weeks, months and years from one scan: days' bitmaps on disk, united for each level."""
+    days = distinct.key_days(ad.events_kv(spark, sf_dir))
+    path = scratch(spark, "bitmaps")
+    distinct.daily_bitmaps(days, distinct.number_keys(days)).write.parquet(path)
+    bitmaps = spark.read.parquet(path)
+    return reduce(DataFrame.unionByName, [distinct.distinct_keys(bitmaps, g) for g in (DAILY, WEEKLY, MONTHLY, YEARLY)])
+
+
 @query(
     _BASE
     + f"select userId, time - time % {DAILY.millis} as time, cast(map_from_entries(list((key, s) order by key)) as varchar) as sums, cast(map_from_entries(list((key, c) order by key)) as varchar) as counts "

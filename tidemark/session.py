@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -38,11 +39,21 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(target)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the session has ended before Python did
+        pass
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or on a local master without one a temporary folder."""
+    """A new folder that driver and executors share, removed when Python ends: below spark.checkpoint.dir, or on a local master without one a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    own = f"{folder}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, own)
+    return own

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import secrets
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schema import EVENTS, Granularity
+from tidemark.schema import EVENTS, GRANULARITIES, YEARLY, Granularity
 from tidemark.sources.dump import decode_all
 
 
@@ -15,19 +18,25 @@ def read_events(spark: SparkSession, base: str, table: str, where: Column | None
     return df if where is None else df.filter(where)
 
 
+PARTS = ("metric", "level", "year")
+
+
+def level_of(code: Column) -> Column:
+    """The name of a granularity's code."""
+    return F.coalesce(*[F.when(code == g.code, F.lit(g.name)) for g in GRANULARITIES])
+
+
 def read_aggregate(spark: SparkSession, base: str, metric: str, g: Granularity) -> DataFrame:
     """One metric at one granularity; both are partitions, so other files are not opened."""
     df = spark.read.parquet(f"{base}/aggregates")
-    return df.filter((F.col("metric") == metric) & (F.col("level") == g.name)).drop("metric", "level")
+    return df.filter((F.col("metric") == metric) & (F.col("level") == g.name)).drop(*PARTS)
 
 
 def write_aggregates(aggregates: DataFrame, base: str, overwrite: bool = False) -> None:
-    """Rows of (metric, granularity, ..) as one table by metric and level."""
-    from tidemark.schema import GRANULARITIES
-
-    level = F.coalesce(*[F.when(F.col("granularity") == g.code, F.lit(g.name)) for g in GRANULARITIES])
+    """Rows of (metric, granularity, ..) as one table by metric, level and year (of 365 days from the epoch)."""
+    parted = aggregates.withColumns({"level": level_of(F.col("granularity")), "year": F.floor(F.col("time") / YEARLY.millis).cast("int")})
     # one shuffle, so that a task writes few files; adaptive execution splits a hot metric over tasks
-    write_table(aggregates.withColumn("level", level).hint("rebalance", "metric", "level"), f"{base}/aggregates", overwrite, by=("metric", "level"))
+    write_table(parted.hint("rebalance", *PARTS), f"{base}/aggregates", overwrite, by=PARTS)
 
 
 def write_table(df: DataFrame, path: str, overwrite: bool = False, by: tuple[str, ...] = ()) -> None:
@@ -100,4 +109,59 @@ def copy(spark: SparkSession, source: str, target: str) -> bool:
     return spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, other, q, False, spark._jsc.hadoopConfiguration())
 
 
+def random_name(length: int = 12) -> str:
+    """Letters and digits, for a folder of one's own."""
+    return "".join(secrets.choice(string.ascii_lowercase + string.digits) for _ in range(length))
+
+
+def make_temporary(spark: SparkSession, base: str) -> str:
+    """A new folder below `base`, hidden from readers of it."""
+    folder = f"{base}/_tmp-{random_name()}"
+    make_folder(spark, folder)
+    return folder
+
+
+def copy_to_temporary(spark: SparkSession, source: str, folder: str) -> str:
+    """A copy of a file or table under its own name in `folder`; tables are copied by a job, files as they are."""
+    name = source.rstrip("/").rsplit("/", 1)[1]
+    fs, p = _fs(spark, source)
+    if fs.getFileStatus(p).isDirectory() and not name.endswith(".csv"):
+        spark.read.parquet(source).write.parquet(f"{folder}/{name}")
+    else:
+        copy(spark, source, f"{folder}/{name}")
+    return f"{folder}/{name}"
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers find the old one or the new one, whole."""
+    beside = f"{path}.{random_name()}"
+    fs, p = _fs(spark, beside)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jvm = spark._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration()).rename(p, jvm.org.apache.hadoop.fs.Path(path), options)
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None where there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(1 << 20)).decode()
+    finally:
+        stream.close()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none where there is no folder."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 EVENT_TABLES = tuple(dict.fromkeys(name for name, _ in EVENTS.values()))
