@@ -56,20 +56,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _lanes(key: int) -> list[tuple[np.uint64, np.uint64]]:
+    """Start and factor of either hash under a key."""
+    if not key:
+        return list(_LANES)
+    return [(mix(np.array([seed ^ U64(key)], np.uint64))[0], factor) for seed, factor in _LANES]
+
+
+def _hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, key: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Both hashes of every byte run."""
-    size = end - start
-    out = [mix(size.astype(np.uint64) * factor + seed) for seed, factor in _LANES]
+    size, lanes = end - start, _lanes(key)
+    out = [mix(size.astype(np.uint64) * factor + seed) for seed, factor in lanes]
     eight = np.ndarray(len(buf) + 1, "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]), strides=(1,))  # the eight bytes from each place on
     live, step = np.flatnonzero(size <= _LONG), 0
     while len(live):
         x = eight[start[live] + step] & _KEEP[np.minimum(size[live] - step, 8)]
-        for h, (seed, factor) in zip(out, _LANES, strict=True):
+        for h, (seed, factor) in zip(out, lanes, strict=True):
             h[live] = mix((h[live] ^ mix(x ^ seed)) * factor)
         step += 8
         live = live[size[live] > step]
     for i in np.flatnonzero(size > _LONG):
-        digest = hashlib.blake2b(buf[start[i] : end[i]].tobytes(), digest_size=16).digest()
+        digest = hashlib.blake2b(buf[start[i] : end[i]].tobytes(), digest_size=16, key=key.to_bytes(8, "little") if key else b"").digest()
         out[0][i], out[1][i] = np.frombuffer(digest, np.uint64)
     return out[0], out[1]
 
@@ -91,8 +98,8 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
-def words(buf: np.ndarray, offsets: np.ndarray, kind: Alphabet, hashed: bool = True) -> Words:
-    """All words of a block of texts (bytes and offsets, from 0)."""
+def words(buf: np.ndarray, offsets: np.ndarray, kind: Alphabet, hashed: bool = True, key: int = 0) -> Words:
+    """All words of a block of texts (bytes and offsets, from 0). key: of the hashes, so that words can't be built to share them."""
     n = len(buf)
     inside = np.zeros(n + 1, bool)
     inside[:n] = kind.is_word[buf]
@@ -110,7 +117,7 @@ def words(buf: np.ndarray, offsets: np.ndarray, kind: Alphabet, hashed: bool = T
     first[-1] = len(start)
     if not hashed:
         return Words(start, end, first, None)
-    return Words(start, end, first, *_hashes(buf if kind.folded is None else kind.folded[buf], start, end))
+    return Words(start, end, first, *_hashes(buf if kind.folded is None else kind.folded[buf], start, end, key))
 
 
 def places(n: int) -> np.ndarray:

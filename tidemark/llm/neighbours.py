@@ -212,11 +212,12 @@ def _searcher(k: int, relax: float):
     return search
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 5, relax: float = 4.0, shard_bytes: int = 8 << 20) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 5, relax: float = 4.0, shard_bytes: int = 128 << 20, least_bytes: int = 8 << 20) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k nearest rows of `vectors` but itself (by vec_id).
 
-    score: cosine in double precision; equal scores by vec_id. Every valid row is indexed, in shards of about
-    `shard_bytes` of doubles by a hash of the id; rows of another dimension than the query never meet it. Each query is sent to each
+    score: cosine in double precision; equal scores by vec_id. Every valid row is indexed, in shards by a hash of the id; rows of
+    another dimension than the query never meet it. A dimension has a shard for each of the session's shuffle partitions, of `least_bytes` of
+    doubles or more, and further ones only beyond `shard_bytes` each (a task holds about five times that), as each query is sent to each
     shard of its dimension, where queries stream past the shard's tree; a task holds one shard and one batch of queries, nothing
     passes the driver but a row for each dimension, and the plan has one size. Fewer candidates than k: all of them. Null, empty, zero
     and non-finite vectors take no part; no rows give none. Rows that repeat an id with another vector are candidates each.
@@ -225,7 +226,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 5, relax: float
     spark = vectors.sparkSession
     valid = staged(valid_vectors(vectors).withColumn("dim", F.size("embedding")), "vectors")
     asked = valid_vectors(queries).withColumn("dim", F.size("embedding"))
-    shape = valid.groupBy("dim").agg(F.count("*").alias("n")).withColumn("shards", F.ceil(F.col("n") * F.col("dim") * 8 / shard_bytes).cast("int"))
+    size = F.col("n") * F.col("dim") * 8
+    wide = F.least(F.ceil(size / min(least_bytes, shard_bytes)), F.lit(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    shape = valid.groupBy("dim").agg(F.count("*").alias("n")).withColumn("shards", F.greatest(F.ceil(size / shard_bytes), wide).cast("int"))
     shape = staged(shape, "shape")
     total = shape.agg(F.coalesce(F.sum("shards"), F.lit(0))).first()[0]
     if not total:

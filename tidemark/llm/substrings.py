@@ -3,7 +3,7 @@
 Each text's non-overlapping blocks of half a window are the index; every rolling
 run of as many words, in every text, probes it. A window that repeats holds a whole block of its
 earlier place, so only windows around hits can repeat. These candidates are compared by a 96-bit hash of
-their whole word sequence, and runs of repeated windows are the maximal exact repeats.
+their whole word sequence under a key drawn for the run, and runs of repeated windows are the maximal exact repeats.
 
 Texts are dealt into chunks by a hash of their id. A chunk sends each distinct run once, as four bytes in
 the row for its bucket, so what all texts share costs a bucket four bytes a chunk. Buckets and partitions are as many as
@@ -13,6 +13,7 @@ the bytes of the corpus ask for. The three passes over a chunk's texts read one
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,14 +57,14 @@ def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 class _Chunk:
     """The texts of a chunk by id: hashes of all words in a row, and whose they are."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, key: int):
         table = table.take(pc.sort_indices(table, [("doc_id", "ascending")]))
         self.ids = table["doc_id"].to_numpy()
         self.body = table["body"].combine_chunks()
         self.body = self.body if isinstance(self.body, pa.Array) else pa.concat_arrays(self.body.chunks or [pa.array([], pa.binary())])
         hashes, second, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for _, _, buf, offsets in blocks(self.body):
-            w = words(buf, offsets, BLANK_SPLIT)
+            w = words(buf, offsets, BLANK_SPLIT, key=key)
             hashes.append(w.hashes)
             second.append(w.second)
             counts.append(w.counts)
@@ -83,9 +84,9 @@ def _short(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> U64(33)) % U64(buckets)) << U64(32) | (h & _LOW)
 
 
-def _send_runs(table: pa.Table, block: int, buckets: int) -> pa.Table:
+def _send_runs(table: pa.Table, block: int, buckets: int, key: int) -> pa.Table:
     """A row for each bucket: the chunk's distinct runs in it, ordered by class (1: occurs again, 2: starts at a block)."""
-    c = _Chunk(table)
+    c = _Chunk(table, key)
     at, h = c.runs(block)
     aligned = (at - c.first[c.text[at]]) % block == 0
     v = np.sort(_short(h, buckets) << U64(1) | aligned.astype(np.uint64))
@@ -124,11 +125,11 @@ def _hit_runs(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table["chunk"].to_numpy()[rows], "bucket": bucket, "runs": _binary((w & _LOW).astype(np.uint32), np.append(first, len(w)))})
 
 
-def _send_windows(table: pa.Table, hits: pa.Table, block: int, size: int, buckets: int) -> pa.Table:
+def _send_windows(table: pa.Table, hits: pa.Table, block: int, size: int, buckets: int, key: int) -> pa.Table:
     """A row for each bucket: the chunk's distinct windows that hold a hit run, each with the smallest id that has it."""
     if not len(table) or not len(hits):
         return _NO_WINDOWS
-    c = _Chunk(table)
+    c = _Chunk(table, key)
     known = np.sort(np.concatenate([np.frombuffer(r.as_py(), np.uint32).astype(np.uint64) | U64(b.as_py()) << U64(32) for b, r in zip(hits["bucket"], hits["runs"], strict=True)]))
     at, h = c.runs(block)
     hit = np.zeros(len(c.hashes) + 1, np.int32)
@@ -193,11 +194,11 @@ def _among(h: np.ndarray, more: np.ndarray, known: np.ndarray, known_more: np.nd
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
 
 
-def _cut(table: pa.Table, later: pa.Table, size: int) -> pa.Table:
+def _cut(table: pa.Table, later: pa.Table, size: int, key: int) -> pa.Table:
     """Each text of the chunk: its words, repeated spans, and what is left."""
     if not len(table):
         return _NO_TEXTS
-    c = _Chunk(table)
+    c = _Chunk(table, key)
     at, h = c.runs(size)
     again = np.zeros(len(h), bool)
     known = _joined(later["windows"], np.uint64)
@@ -253,7 +254,8 @@ def repeated_spans(docs: DataFrame, *, window: int = 20, chunk_bytes: int = 4 <<
 
     A word (`[^\\x20\\x09-\\x0D]+`) goes if a window over it has a word sequence that also starts earlier: in a
     smaller doc_id, or in its own document before. Windows are judged on the input; word sequences are
-    equal if their 96-bit hashes are (that any two of 10^13 unequal ones agree has a chance below 0.001). removed: maximal repeats, in words from 0, ends exclusive. kept_sha256: of the words
+    equal if their 96-bit hashes are: these are keyed by a number drawn for the run, so texts can't be built to agree, and that any two of
+    10^13 unequal ones agree by chance is below 0.001. removed: maximal repeats, in words from 0, ends exclusive. kept_sha256: of the words
     left, joined by blanks.
 
     Chunks hold about `chunk_bytes` of text and a bucket gets the runs of about `bucket_bytes`; partitions are as many as
@@ -261,16 +263,16 @@ def repeated_spans(docs: DataFrame, *, window: int = 20, chunk_bytes: int = 4 <<
     order: they lose nothing, are no earlier place, and are not shuffled. Rows that share a doc_id are one document's: equal
     starts of theirs don't remove each other. Repeated rows each give a row; no rows give none; further columns are not looked at.
     """
-    block = (window + 1) // 2
+    block, key = (window + 1) // 2, secrets.randbits(63)
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n, buckets, parts = 1 + total // chunk_bytes, 1 + total // bucket_bytes, 1 + total // (4 * chunk_bytes)
     doc_id = F.col("doc_id").cast("long")
     dealt = docs.filter(doc_id.isNotNull()).select(F.pmod(F.xxhash64(doc_id), F.lit(n)).alias("chunk"), doc_id.alias("doc_id"), body).repartition(parts, "chunk")
 
-    runs = dealt.groupBy("chunk").applyInArrow(lambda t: _send_runs(t, block, buckets), "bucket long, chunk long, n0 long, n1 long, n2 long, n3 long, runs binary")
+    runs = dealt.groupBy("chunk").applyInArrow(lambda t: _send_runs(t, block, buckets, key), "bucket long, chunk long, n0 long, n1 long, n2 long, n3 long, runs binary")
     hits = runs.repartition(1 + buckets // 2, "bucket").groupBy("bucket").applyInArrow(_hit_runs, "chunk long, bucket long, runs binary")
-    found = dealt.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(lambda a, b: _send_windows(a, b, block, window, buckets), "bucket long, chunk long, windows binary, more binary, owners binary")
+    found = dealt.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(lambda a, b: _send_windows(a, b, block, window, buckets, key), "bucket long, chunk long, windows binary, more binary, owners binary")
     later = found.groupBy("bucket").applyInArrow(_later_windows, "chunk long, windows binary, more binary")
-    named = dealt.groupBy("chunk").cogroup(later.groupBy("chunk")).applyInArrow(lambda a, b: _cut(a, b, window), _DDL)
+    named = dealt.groupBy("chunk").cogroup(later.groupBy("chunk")).applyInArrow(lambda a, b: _cut(a, b, window, key), _DDL)
     return named.unionByName(docs.filter(doc_id.isNull()).select(body).mapInArrow(_whole, _DDL))
