@@ -75,24 +75,26 @@ def _bags(texts: list[bytes], together: int = 64) -> list[tuple[np.ndarray, np.n
     return bags
 
 
-def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8, epochs: int = 10, batch: int = 32, rate: float = 1.5, half: float = 0.2, decay: float = 3e-4, seed: int = 5) -> ToxicityModel:
+def fit(texts: list[bytes], y: np.ndarray, weight: np.ndarray, *, dim: int = 8, epochs: int = 16, batch: int = 32, rate: float = 1.5, doubt: float = 32.0, decay: float = 3e-4, seed: int = 5) -> ToxicityModel:
     """Adagrad over bags of n-grams: embeddings and softmax rows move together.
 
-    Every bucket of the texts is learnt. It weighs s / (s + half), where s is its share of the texts of the class
-    that holds it more, so that few texts are learnt by their rare n-grams alone and a small class keeps the words
-    of its own; each step also shrinks the embeddings it moves by `decay`.
+    Every bucket of the texts is learnt. It weighs d / (d + doubt), where d is the squared difference of its shares of the two
+    classes' texts over that difference's variance: what both classes hold alike hardly moves the mean of a long text, however
+    frequent, and what one class holds counts by how sure that is. Each step also shrinks the embeddings it moves by `decay`.
     """
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (1 << BITS, dim)).astype(np.float32)
     out, bias = rng.normal(0, 1.0, (2, dim)).astype(np.float32), np.zeros(2, np.float32)
     g_emb, g_out, g_bias = np.full(1 << BITS, 1e-8, np.float32), np.full_like(out, 1e-8), np.full_like(bias, 1e-8)
     bags = _bags(texts)
-    shares = np.zeros(1 << BITS)
+    n, p = [], []
     for k in (0, 1):
         own = [ids for (ids, _), mark in zip(bags, y, strict=True) if mark == k]
-        if own:
-            shares = np.maximum(shares, np.bincount(np.concatenate(own), minlength=1 << BITS) / len(own))
-    weigh = (shares / (shares + half)).astype(np.float32)
+        held = np.bincount(np.concatenate(own), minlength=1 << BITS) if own else np.zeros(1 << BITS)
+        n.append(max(1, len(own)))
+        p.append((held + 0.5) / (len(own) + 1))
+    sure = (p[1] - p[0]) ** 2 / (p[0] * (1 - p[0]) / n[0] + p[1] * (1 - p[1]) / n[1])
+    weigh = (sure / (sure + doubt)).astype(np.float32)
     bags = [(ids, share * weigh[ids]) for ids, share in bags]
     target = np.stack([1 - y, y], 1).astype(np.float32)
     for _ in range(epochs):
