@@ -9,7 +9,7 @@ import sys
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import activity, aggregates, apps, categories, documents, places, sessions, sleep, summary
@@ -32,8 +32,12 @@ def _write(df: DataFrame, base: str, name: str) -> None:
     tables.write_table(df, f"{base}/{name}", overwrite=True)
 
 
-def ingest(spark: SparkSession, base: str, path: str) -> None:
+def ingest(spark: SparkSession, base: str, path: str) -> dict[str, int]:
+    """The event tables of a dump, and its other lines with their reasons (rejected_lines); the counts of both."""
     tables.write_events(dump.read_dump(spark, path), base, overwrite=True)
+    seen = Observation("dump")
+    _write(dump.observed(dump.checked_lines(spark.read.text(path)), seen).filter("reason is not null").select("value", "reason"), base, "rejected_lines")
+    return seen.get
 
 
 def _gate(spark: SparkSession, base: str, table: str, kind: str, rank: int) -> DataFrame:

@@ -1,14 +1,14 @@
 """Raw dumps: tab-separated lines of id, user, time, event type and a JSON payload, to typed events.
 
-Lines that do not parse are dropped, by the rules of their type. Everything is a column expression.
+Lines that do not parse are dropped, by the rules of their type, or kept apart with the reason. Everything is a column expression.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schema import EVENTS, event_schema
+from tidemark.schema import EVENTS, UNPARSED, event_schema
 
 _SLASH = chr(92)
 #: Payloads whose elements need not all be strings.
@@ -22,20 +22,58 @@ def read_dump(spark: SparkSession, path: str) -> DataFrame:
     return split_lines(spark.read.text(path))
 
 
-def split_lines(lines: DataFrame) -> DataFrame:
-    """The five fields of each line (`value`); tabs in the payload stay."""
+def _fields() -> dict[str, Column]:
     part = F.split(F.col("value"), "\t", 5)
     stamp = F.replace(F.get(part, F.lit(2)), F.lit("T"), F.lit(" "))
-    out = lines.select(
-        F.get(part, F.lit(0)).try_cast("bigint").alias("id"),
-        F.get(part, F.lit(1)).try_cast("bigint").alias("userId"),
-        F.unix_millis(F.try_to_timestamp(stamp)).alias("time"),
-        F.get(part, F.lit(3)).try_cast("int").alias("type"),
-        F.get(part, F.lit(4)).alias("payload"),
-    )
+    return {
+        "id": F.get(part, F.lit(0)).try_cast("bigint"),
+        "userId": F.get(part, F.lit(1)).try_cast("bigint"),
+        "time": F.unix_millis(F.try_to_timestamp(stamp)),
+        "type": F.get(part, F.lit(3)).try_cast("int"),
+        "payload": F.get(part, F.lit(4)),
+    }
+
+
+def split_lines(lines: DataFrame) -> DataFrame:
+    """The five fields of each line (`value`); tabs in the payload stay."""
+    out = lines.select(*[c.alias(n) for n, c in _fields().items()])
     return out.filter("id is not null and userId is not null and time is not null and type is not null and payload is not null")
 
 
+#: Why a line is in no event table; the first that holds.
+REASONS = ("fields", "id", "userId", "time", "type", "unread type", "unknown type", "payload")
+
+
+def checked_lines(lines: DataFrame) -> DataFrame:
+    """Each line (`value`) with its fields and the reason why it is in no event table, null where it is in one.
+
+    fields: there are fewer than five; id, userId, time, type: does not parse; unread and unknown types have no table; payload:
+    not what the type asks for.
+    """
+    rows = lines.select("value", *[c.alias(n) for n, c in _fields().items()])
+    text = _json(F.col("payload"))
+    rows = rows.withColumns({"text": text, "p": _elements(text), "apps": _app_maps()})
+    fits = F.lit(None).cast("boolean")
+    for number in EVENTS:
+        fits = F.when(F.col("type") == number, F.coalesce(_fits(number), F.lit(False))).otherwise(fits)
+    reason = F.when(F.col("payload").isNull(), "fields")
+    for name in ("id", "userId", "time", "type"):
+        reason = reason.when(F.col(name).isNull(), name)
+    reason = reason.when(F.col("type").isin(list(UNPARSED)), "unread type").when(~F.col("type").isin(list(EVENTS)), "unknown type").when(~fits, "payload")
+    return rows.withColumn("reason", reason).drop("text", "p", "apps")
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """value, reason of the lines that are in no event table."""
+    return checked_lines(lines).filter("reason is not null").select("value", "reason")
+
+
+def observed(checked: DataFrame, observation: Observation) -> DataFrame:
+    """checked_lines that count, as they pass, all lines, the accepted, and the rejected by reason."""
+    counts = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+    return checked.observe(observation, F.count("*").alias("lines"), F.count_if(F.col("reason").isNull()).alias("accepted"), *counts)
+
+
 def _json(payload: Column) -> Column:
     """The JSON text: of a quoted payload all between its quotes, without any backslash."""
     inner = F.replace(F.substring(payload, F.lit(2), F.length(payload) - 2), F.lit(_SLASH), F.lit(""))
@@ -51,20 +89,14 @@ def _all_strings(text: Column) -> Column:
     return F.rlike(text, F.lit(r'(?s)^\s*\[\s*(?:"(?:[^"\\]|\\.)*+"\s*(?:,\s*"(?:[^"\\]|\\.)*+"\s*)*+)?\]\s*$'))
 
 
-def decode(fields: DataFrame, number: int) -> DataFrame:
-    """Typed rows of one event type from split_lines' fields."""
-    text = _json(F.col("payload"))
-    own = fields.filter(F.col("type") == number)
-    if number == 1008:  # a list of objects; the outer characters go, whatever they are
-        inner = F.replace(F.substring("payload", F.lit(2), F.length("payload") - 2), F.lit(_SLASH), F.lit(""))
-        apps = F.from_json(inner, "array<map<string,string>>", {"allowUnquotedControlChars": "true"})
-        own = own.withColumn("apps", apps).filter("apps is not null and not exists(apps, a -> a is null)")
-        return own.select("id", "userId", "time", F.transform("apps", lambda a: F.coalesce(F.get(F.filter(F.map_values(F.map_filter(a, lambda k, _: k == "pkg")), lambda v: v.isNotNull()), F.lit(0)), F.lit(""))).alias("installedApps"))
-    if number in _BARE:
-        return own.select("id", "userId", "time")
-    own = own.withColumn("text", text).withColumn("p", _elements(F.col("text"))).filter("p is not null")
-    if number not in _MIXED:
-        own = own.filter(_all_strings(F.col("text")))
+def _app_maps() -> Column:
+    """The objects of an app list; the outer characters go, whatever they are."""
+    inner = F.replace(F.substring("payload", F.lit(2), F.length("payload") - 2), F.lit(_SLASH), F.lit(""))
+    return F.from_json(inner, "array<map<string,string>>", {"allowUnquotedControlChars": "true"})
+
+
+def _shape(number: int) -> tuple[Column, list[Column]]:
+    """How many elements `p` a type's payload has, and its columns."""
     p = lambda i: F.get("p", F.lit(i))
     n = F.size("p")
     long, integer, real, double = (lambda i, k=k: p(i).try_cast(k) for k in ("bigint", "int", "float", "double"))
@@ -91,11 +123,35 @@ def decode(fields: DataFrame, number: int) -> DataFrame:
         1032: (n == 4, [long(1) * 1000, p(3)]),  # seconds in the dump, milliseconds in the tables
         1100: (n >= 1, [integer(0), F.slice("p", F.lit(2), F.greatest(n - 1, F.lit(0)))]),
     }
-    arity, columns = shape[number]
+    return shape[number]
+
+
+def _fits(number: int) -> Column:
+    """Whether a payload (with `text`, `p` and `apps` made of it) is what its type asks for; null where it can't be read."""
+    if number in _BARE:
+        return F.lit(True)
+    if number == 1008:
+        return F.col("apps").isNotNull() & ~F.exists("apps", lambda a: a.isNull())
+    arity, columns = _shape(number)
+    fits = F.col("p").isNotNull() & arity
+    for c in columns:
+        fits = fits & c.isNotNull()
+    return fits if number in _MIXED else fits & _all_strings(F.col("text"))
+
+
+def decode(fields: DataFrame, number: int) -> DataFrame:
+    """Typed rows of one event type from split_lines' fields."""
+    own = fields.filter(F.col("type") == number)
+    if number in _BARE:
+        return own.select("id", "userId", "time")
+    if number == 1008:
+        package = lambda a: F.get(F.filter(F.map_values(F.map_filter(a, lambda k, _: k == "pkg")), lambda v: v.isNotNull()), F.lit(0))
+        own = own.withColumn("apps", _app_maps()).filter(_fits(number))
+        return own.select("id", "userId", "time", F.transform("apps", lambda a: F.coalesce(package(a), F.lit(""))).alias("installedApps"))
+    own = own.withColumn("text", _json(F.col("payload"))).withColumn("p", _elements(F.col("text"))).filter(_fits(number))
     names = [c.split()[0] for c in event_schema(number).split(", ")]
     keys = ["userId", "time"] if number == 1032 else ["id", "userId", "time"]
-    own = own.filter(arity).select(*keys, *[c.alias(x) for c, x in zip(columns, names[len(keys) :], strict=True)])
-    return own.dropna(subset=names)
+    return own.select(*keys, *[c.alias(x) for c, x in zip(_shape(number)[1], names[len(keys) :], strict=True)])
 
 
 def decode_all(fields: DataFrame) -> dict[str, DataFrame]:
