@@ -38,3 +38,23 @@ def moving(df: DataFrame, summary: Callable[[Column], Column], value: str, *, by
 def median_filter(df: DataFrame, value: str, *, by: str, order: list[str], size: int = 5) -> DataFrame:
     """Centred moving median; the window is cut at both ends of a series, however short it is."""
     return moving(df, array_median, value, by=by, order=order, size=size)
+
+
+def counted(rows: DataFrame, value: str, *by: str) -> DataFrame:
+    """The counter of each key's values: the key, value, n. Null values are not counted."""
+    return rows.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("value")).agg(F.count("*").alias("n"))
+
+
+def merged(counters: DataFrame, *by: str) -> DataFrame:
+    """Counters of finer keys, or several in one table, as those of coarser keys."""
+    return counters.groupBy(*by, "value").agg(F.sum("n").alias("n"))
+
+
+def ranked(counters: DataFrame, *by: str, share: float = 0.5) -> DataFrame:
+    """The least value that at least `share` of a key's values do not exceed (the lower median for a half), found by running counts.
+
+    A counter has a row for each distinct value, and the search ends at the first row that reaches the share, so it always ends.
+    """
+    w = Window.partitionBy(*by).orderBy("value")
+    rows = counters.withColumns({"upto": F.sum("n").over(w), "all": F.sum("n").over(Window.partitionBy(*by))})
+    return rows.filter(F.col("upto") >= F.col("all") * share).groupBy(*by).agg(F.min("value").alias("value"))

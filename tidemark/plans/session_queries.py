@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import activity, apps, documents, places, sessions
+from tidemark.operators import activity, apps, documents, places, sessions, vectors
 from tidemark.plans import adapter as ad
 from tidemark.plans.aggregate_queries import _with, split_sql
 from tidemark.plans.registry import query
@@ -42,6 +42,31 @@ def app_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.app_sessions(ad.window_events(spark, sf_dir))
 
 
+@query(_with(ad.EV, ad.WINDOW_EVENTS, _APP_SESSIONS) + "select * from app_sessions")
+def app_sessions_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """app_sessions over a table that lies in buckets of users."""
+    rows = tables.write_bucketed(ad.window_events(spark, sf_dir), f"window_events_{tables.random_name()}", scratch(spark, "bucketed"), buckets=16)
+    return sessions.app_sessions(rows)
+
+
+_VECTORS = """
+word as (select 'app' || k as app, row_number() over (order by 'app' || k) - 1 as i from (select distinct k from ev)),
+day as (select userId, time - time % 86400000 as time, i, count(*) as n from ev join word on app = 'app' || k group by 1, 2, 3),
+ordered as (select userId, time, row_number() over (partition by userId order by time) as d from (select distinct userId, time from day)),
+own as (select userId, d, string_agg(i || ':' || n, ' ' order by i) as vector from day join ordered using (userId, time) group by userId, d),
+joint as (select userId, d, string_agg(i || ':' || n, ' ' order by i) as sums from (select o.userId, o.d, x.i, sum(x.n)::bigint as n from ordered o join ordered b on b.userId = o.userId and b.d in (o.d, o.d - 1) join day x on x.userId = b.userId and x.time = b.time group by 1, 2, 3) group by userId, d)"""
+
+
+@query(_with(ad.EV, _VECTORS) + "select userId, time, vector, sums from ordered join own using (userId, d) join joint using (userId, d)")
+def app_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's use of apps as a sparse vector, and its sum with that of the day of use before."""
+    use = ad.base(spark, sf_dir).select("userId", (F.col("time") - F.col("time") % DAY).alias("time"), F.concat(F.lit("app"), F.col("k")).alias("app"))
+    rows = use.join(apps.dictionary(use), "app").withColumn("value", F.lit(1))
+    days = vectors.gathered(rows, "userId", "time")
+    before = F.lag("vector").over(Window.partitionBy("userId").orderBy("time"))
+    return days.select("userId", "time", vectors.as_text(F.col("vector")).alias("vector"), vectors.as_text(vectors.add(F.col("vector"), before)).alias("sums"))
+
+
 _ONE = "we as (select * replace (0 as userId) from we_all)"
 
 

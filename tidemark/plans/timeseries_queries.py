@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.median import lower_median, median_long
+from tidemark.functions.median import counted, lower_median, median_long, merged, ranked
 from tidemark.operators import aggregates, runs, sleep
 from tidemark.plans import adapter as ad
 from tidemark.plans import session_queries as sq
@@ -134,3 +134,10 @@ def inactivity_daily_sleep(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_with(ad.EV) + "select userId, trunc(median(duration))::bigint as middle, quantile_disc(duration, 0.5)::bigint as lower from ev group by userId")
 def medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.base(spark, sf_dir).groupBy("userId").agg(median_long(F.col("duration")).alias("middle"), lower_median("duration").alias("lower"))
+
+
+@query(_with(ad.EV) + "select userId, quantile_disc(duration, 0.5)::bigint as value from ev group by userId")
+def medians_from_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower medians from counters of each day's durations, merged."""
+    daily = counted(ad.base(spark, sf_dir).withColumn("day", F.floor(F.col("time") / DAY)), "duration", "userId", "day")
+    return ranked(merged(daily, "userId"), "userId")
