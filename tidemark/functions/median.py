@@ -19,10 +19,10 @@ def lower_median(column: str) -> Column:
 
 
 def array_median(values: Column) -> Column:
-    """Median of an array of integers, by the rule of median_long."""
+    """Median of an array of integers, by the rule of median_long; null of an empty one."""
     ordered, n = F.sort_array(values), F.size(values)
     low, high = F.element_at(ordered, ((n + 1) / 2).cast("int")), F.element_at(ordered, (n / 2).cast("int") + 1)
-    return ((low + high) / 2).cast("long")
+    return F.when(n > 0, ((low + high) / 2).cast("long"))
 
 
 def moving(df: DataFrame, summary: Callable[[Column], Column], value: str, *, by: str, order: list[str], size: int = 5) -> DataFrame:

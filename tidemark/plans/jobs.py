@@ -155,7 +155,7 @@ def sleeps(spark: SparkSession, base: str) -> None:
 
 def installed(spark: SparkSession, base: str) -> None:
     changes = apps.app_changes(*[_read(spark, base, t) for t in ("app_list", "app_install", "app_removal")])
-    days = tables.read_aggregate(spark, base, "app_total_duration", DAILY).select("userId", "time").distinct()
+    days = tables.read_aggregate(spark, base, "app_total_duration", DAILY).filter("value > 0").select("userId", "time").distinct()
     _write(apps.encoded(apps.installed_apps(changes, days), apps.dictionary(changes)), base, "installed_apps")
 
 

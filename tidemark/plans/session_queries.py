@@ -42,6 +42,15 @@ def app_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.app_sessions(ad.window_events(spark, sf_dir))
 
 
+@query(_with(ad.EV) + "select id, userId, time, kind from ev where userId = (select min(userId) from ev) and time >= (select min(time) from ev)")
+def events_of_one_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first user's events, read from all events in order of user and time: other users' row groups are skipped."""
+    path = scratch(spark, "sorted")
+    tables.write_sorted(ad.base(spark, sf_dir).select("id", "userId", "time", "kind"), f"{path}/events", group_bytes=1 << 20)
+    bounds = spark.read.parquet(f"{path}/events").agg(F.min("userId").alias("user"), F.min("time").alias("since")).first()
+    return tables.read_events(spark, path, "events", (F.col("userId") == bounds.user) & (F.col("time") >= bounds.since))
+
+
 @query(_with(ad.EV, ad.WINDOW_EVENTS, _APP_SESSIONS) + "select * from app_sessions")
 def app_sessions_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """app_sessions over a table that lies in buckets of users."""

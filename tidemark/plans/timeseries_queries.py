@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.median import counted, lower_median, median_long, merged, ranked
-from tidemark.operators import aggregates, runs, sleep
+from tidemark.operators import aggregates, moving, runs, sleep
 from tidemark.plans import adapter as ad
 from tidemark.plans import session_queries as sq
 from tidemark.plans.aggregate_queries import _with, split_sql
@@ -141,3 +141,16 @@ def medians_from_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower medians from counters of each day's durations, merged."""
     daily = counted(ad.base(spark, sf_dir).withColumn("day", F.floor(F.col("time") / DAY)), "duration", "userId", "day")
     return ranked(merged(daily, "userId"), "userId")
+
+
+_WIDE = 201
+
+
+@query(
+    _with(ad.EV) + f"select userId, id, trunc(case len(w) % 2 when 1 then w[len(w) // 2 + 1]::double else (w[len(w) // 2] + w[len(w) // 2 + 1]) / 2.0 end)::bigint as duration from "
+    f"(select userId, id, list_sort(list(duration) over (partition by userId order by time, id rows between {_WIDE // 2} preceding and {_WIDE // 2} following)) as w from ev)"
+)
+def wide_moving_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The median duration of the 201 events around each."""
+    rows = ad.base(spark, sf_dir).select("userId", "time", "id", "duration")
+    return moving.wide_median(rows, "duration", by="userId", order=["time", "id"], size=_WIDE).select("userId", "id", "duration")
