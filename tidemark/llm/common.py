@@ -42,15 +42,16 @@ _cleaned: set[str] = set()
 _path_of: dict[int, tuple[DataFrame, str]] = {}  # of staged tables, by the DataFrame's identity
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
+def staged(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts lineage, survives lost executors. group_bytes: of a row group, which a task holds."""
     spark = df.sparkSession
     folder = shared_dir(spark)
     if folder not in _cleaned:
         _cleaned.add(folder)
         atexit.register(_remove, spark, folder)
     path = f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.option("parquet.block.size", group_bytes) if group_bytes else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _path_of[id(out)] = (out, path)
     return out

@@ -26,6 +26,7 @@ from tidemark.llm.common import blocks, discard, id_text, staged
 
 BUCKETS = 10_000
 BLOCK = 1 << 19  # bytes of text that DuckDB takes at once
+_ROWS = 128  # documents that are weighed at once
 _LONG = 255  # bytes that a CRC is shifted by at once
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -146,6 +147,7 @@ def bucket_counts(texts: DataFrame, *, buckets: int = BUCKETS, block: int = BLOC
                 total += np.bincount(lists[0].flatten().to_numpy(), lists[1].flatten().to_numpy(), buckets).astype(np.int64)  # exact: far below 2^53
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + hi - lo)), ids.slice(lo, hi - lo), *numbers, *lists], schema=_SPILL)
                 row += hi - lo
+            pa.default_memory_pool().release_unused()
         while total.any():  # sums that pass 31 bits take several rows
             now = np.minimum(total, (1 << 31) - 1)
             some = np.flatnonzero(now)
@@ -153,7 +155,7 @@ def bucket_counts(texts: DataFrame, *, buckets: int = BUCKETS, block: int = BLOC
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SPILL, strict=True)], schema=_SPILL)
             total -= now
 
-    return staged(id_text(texts).mapInArrow(count, "n long, doc_id long, n_words long, n_features long, buckets array<short>, counts array<int>"), "bucket-counts")
+    return staged(id_text(texts).mapInArrow(count, "n long, doc_id long, n_words long, n_features long, buckets array<short>, counts array<int>"), "bucket-counts", group_bytes=16 << 20)
 
 
 def merged(spilled: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -179,10 +181,13 @@ def score_documents(spilled: DataFrame, gain: np.ndarray, *, seed: int = 42) ->
 
     @F.arrow_udf(LongType())
     def weigh(buckets: pa.Array, counts: pa.Array) -> pa.Array:
-        each = gain[buckets.flatten().to_numpy()] * counts.flatten().to_numpy()
-        ends = np.cumsum(np.concatenate([[0], buckets.value_lengths().to_numpy()]))
-        run = np.concatenate([[0], np.cumsum(each)])
-        return pa.array(run[ends[1:]] - run[ends[:-1]], pa.int64())
+        out = [np.zeros(0, np.int64)]
+        for lo in range(0, len(buckets), _ROWS):  # a row has a number for each bucket at most
+            some, times = buckets.slice(lo, _ROWS), counts.slice(lo, _ROWS)
+            run = np.concatenate([[0], np.cumsum(gain[some.flatten().to_numpy()] * times.flatten().to_numpy())])
+            ends = np.cumsum(np.concatenate([[0], some.value_lengths().to_numpy()]))
+            out.append(run[ends[1:]] - run[ends[:-1]])
+        return pa.array(np.concatenate(out), pa.int64())
 
     @F.arrow_udf(LongType())
     def gumbel(h: pa.Array) -> pa.Array:
