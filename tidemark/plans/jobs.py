@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import activity, aggregates, apps, categories, documents, places, sessions, sleep, summary
+from tidemark.operators.dealing import dealt
 from tidemark.schema import DAILY, FIVE_MIN, GRANULARITIES, SPECS
 from tidemark.sources import dump, tables
 
@@ -106,7 +107,7 @@ def phone_sessions(spark: SparkSession, base: str) -> None:
 
 def positive(spark: SparkSession, base: str) -> None:
     """Time without the phone, where pauses of over a day from before SINCE are left out, and minutes of use."""
-    _write(activity.positive_time(spark.read.parquet(f"{base}/phone_inactivity_sessions"), filter_start=SINCE), base, "positive_time")
+    _write(activity.positive_time(dealt(spark.read.parquet(f"{base}/phone_inactivity_sessions"), "userId"), filter_start=SINCE), base, "positive_time")
     use = _usage(spark, base).withColumn("id", F.xxhash64("time", "duration", "packageName"))
     _write(activity.positive_minutes(use), base, "pos_minutes")
 
@@ -135,19 +136,19 @@ def sleeps(spark: SparkSession, base: str) -> None:
 
     The runs of a signal are written first (.._runs) and read back by the tables made of them.
     """
-    entries = tables.read_aggregate(spark, base, "app_total_duration", FIVE_MIN)
+    entries = dealt(tables.read_aggregate(spark, base, "app_total_duration", FIVE_MIN), "userId")
     written: set[str] = set()
 
     def keep(prefix: str) -> sleep.Keep:
         def read_back(name: str, df: DataFrame) -> DataFrame:
             _write(df, base, prefix + name)
             written.add(prefix + name)
-            return spark.read.parquet(f"{base}/{prefix}{name}")
+            return dealt(spark.read.parquet(f"{base}/{prefix}{name}"), "userId")
 
         return read_back
 
     found = sleep.sleep_tables(entries, spark.read.parquet(f"{base}/phone_inactivity_sessions"), keep=keep(""))
-    gapped = sleep.smooth_tables(spark.read.parquet(f"{base}/clean_no_filter_runs"), keep("gapped_"))
+    gapped = sleep.smooth_tables(dealt(spark.read.parquet(f"{base}/clean_no_filter_runs"), "userId"), keep("gapped_"))
     for name, df in {**found, **{f"gapped_{n}": df for n, df in gapped.items()}}.items():
         if name not in written:
             _write(df, base, name)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.median import counted, lower_median, median_long, merged, ranked
 from tidemark.operators import aggregates, moving, runs, sleep
+from tidemark.operators.dealing import dealt
 from tidemark.plans import adapter as ad
 from tidemark.plans import session_queries as sq
 from tidemark.plans.aggregate_queries import _with, split_sql
@@ -22,7 +23,7 @@ def _runs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     kv = ad.sessions(spark, sf_dir).select("userId", "time", "duration", F.col("app").alias("key"))
-    return aggregates.sum_events(kv, FIVE_MIN)
+    return aggregates.sum_events(dealt(kv, "userId"), FIVE_MIN)
 
 
 _USE = f"use as (select userId, b as timeWindow, sum(piece)::bigint as value from ({split_sql('sessions', _STEP)}) group by 1, 2)"
