@@ -86,15 +86,18 @@ def smoothed(runs: DataFrame, step: int = STEP) -> DataFrame:
 def daily_profile(runs: DataFrame, step: int = STEP) -> DataFrame:
     """userId, timeWindow (of the day), medianUsage of the days that have that window.
 
-    Windows of 0 are counted from where runs of 0 begin and end in the day, others are spelt out.
+    Windows of 0 are counted from where runs of 0 begin and end in the day, others are spelt out; both are rows of one table, so the
+    runs are made once.
     """
-    daily = by_day(runs, step).withColumn("slot", F.col("timeWindow") - F.col("day"))
-    zero = daily.filter("value = 0")
-    edges = zero.select("userId", "slot", F.lit(1).alias("change")).unionByName(zero.select("userId", (F.col("slot") + F.col("windows") * step).alias("slot"), F.lit(-1).alias("change")))
-    edges = edges.groupBy("userId", "slot").agg(F.sum("change").alias("change"))
-    w = Window.partitionBy("userId").orderBy("slot")
-    levels = edges.withColumns({"times": F.sum("change").over(w), "next": F.lead("slot").over(w)}).filter("times > 0")
-    none = levels.select("userId", F.explode(F.sequence(F.col("slot"), F.col("next") - step, F.lit(step).cast("long"))).alias("timeWindow"), F.lit(0).cast("long").alias("value"), "times")
-    some = daily.filter("value <> 0").withColumn("timeWindow", F.explode(F.sequence(F.col("slot"), F.col("slot") + (F.col("windows") - 1) * step, F.lit(step).cast("long"))))
-    rows = none.unionByName(some.select("userId", "timeWindow", "value", F.lit(1).cast("long").alias("times")))
-    return rows.groupBy("userId", "timeWindow").agg(F.percentile("value", F.lit(0.5), F.col("times")).cast("long").alias("medianUsage"))
+    slot = F.col("timeWindow") - F.col("day")
+    change = lambda at, n: F.struct(at.alias("slot"), F.lit(n).cast("long").alias("times"))
+    edges = F.array(change(slot, 1), change(slot + F.col("windows") * step, -1))
+    spelt = F.transform(F.sequence(slot, slot + (F.col("windows") - 1) * step, F.lit(step).cast("long")), lambda at: change(at, 1))
+    rows = by_day(runs, step).filter("value is not null").select("userId", "value", F.inline(F.when(F.col("value") == 0, edges).otherwise(spelt)))
+    rows = rows.groupBy("userId", "slot", "value").agg(F.sum("times").alias("times"))
+    zero = F.col("value") == 0
+    w = Window.partitionBy("userId", zero).orderBy("slot")
+    levels = rows.withColumns({"next": F.lead("slot").over(w), "times": F.when(zero, F.sum("times").over(w)).otherwise(F.col("times"))}).filter("times > 0")
+    slots = F.when(zero, F.sequence(F.col("slot"), F.col("next") - step, F.lit(step).cast("long"))).otherwise(F.array("slot"))
+    levels = levels.select("userId", F.explode(slots).alias("timeWindow"), F.col("value").cast("long").alias("value"), "times")
+    return levels.groupBy("userId", "timeWindow").agg(F.percentile("value", F.lit(0.5), F.col("times")).cast("long").alias("medianUsage"))
