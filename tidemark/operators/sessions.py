@@ -176,12 +176,14 @@ def phone_sessions(events: DataFrame, *, session_cutoff: int = SESSION_CUTOFF, p
     return rows.mapInArrow(lambda batches: phone_pieces(batches, session_cutoff, pause_cutoff), _FRAGMENT)
 
 
-def inactivity_sessions(phone: DataFrame) -> DataFrame:
+def inactivity_sessions(phone: DataFrame, *, partitions: int | None = None) -> DataFrame:
     """userId, time, duration: from the end of the last piece to the start of the next session, wherever a session begins.
 
     Both are the first piece's own time before it, so a piece that is shown elsewhere than in its session gives a row.
-    Durations may be negative. Pieces are taken by time, session start and app.
+    Durations may be negative. Pieces are taken by time, session start and app. partitions: of users, which what is made of
+    the pauses keeps (see dealing.tasks).
     """
+    phone = phone.repartition(partitions, "userId") if partitions else phone
     w = Window.partitionBy("userId").orderBy("time", "sessionStart", "app", "duration")
     last_start = F.coalesce(F.lag("sessionStart").over(w), F.col("time"))
     last_end = F.coalesce(F.lag(F.col("time") + F.col("duration")).over(w), F.col("time"))

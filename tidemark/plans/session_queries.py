@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import activity, apps, documents, places, sessions, vectors
+from tidemark.operators.dealing import tasks
 from tidemark.plans import adapter as ad
 from tidemark.plans.aggregate_queries import _with, split_sql
 from tidemark.plans.registry import query
@@ -134,9 +135,16 @@ def phone_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.phone_sessions(ad.phone_events(spark, sf_dir))
 
 
+def _phone_sessions_wide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Phone sessions and how many tasks their users are dealt to."""
+    events = ad.phone_events(spark, sf_dir)
+    n = tasks(events)
+    return sessions.phone_sessions(events, **_WIDE, partitions=n), n
+
+
 @query(_recursive(ad.EV, ad.PHONE_EVENTS, _WIDE_SQL) + "select * from phone")
 def phone_sessions_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.phone_sessions(ad.phone_events(spark, sf_dir), **_WIDE)
+    return _phone_sessions_wide(spark, sf_dir)[0]
 
 
 _INACTIVITY = """
@@ -149,7 +157,8 @@ inactivity as (
 
 @query(_recursive(ad.EV, ad.PHONE_EVENTS, _WIDE_SQL, _INACTIVITY) + "select * from inactivity")
 def inactivity_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.inactivity_sessions(phone_sessions_wide(spark, sf_dir))
+    phone, n = _phone_sessions_wide(spark, sf_dir)
+    return sessions.inactivity_sessions(phone, partitions=n)
 
 
 _FILTER_START = 1_704_500_000_000
@@ -213,8 +222,8 @@ clusters as (
 
 @query(_recursive(ad.EV, ad.PHONE_EVENTS, _WIDE_SQL, _INACTIVITY, _BREAKS, _CLUSTERS) + "select * from clusters")
 def activity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    phone = phone_sessions_wide(spark, sf_dir)
-    return activity.activity_clusters(phone, sessions.inactivity_sessions(phone), 2)
+    phone, n = _phone_sessions_wide(spark, sf_dir)
+    return activity.activity_clusters(phone, sessions.inactivity_sessions(phone, partitions=n), 2)
 
 
 _PLACES = "places as (select points.*, id % 5 + 10 as cluster from points where accuracy <> 0)"
