@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import math
 import re
 import zlib
@@ -20,13 +21,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from tidemark.llm.common import blocks, discard, id_text, staged
 
 BUCKETS = 10_000
 BLOCK = 1 << 19  # bytes of text that DuckDB takes at once
-_ROWS = 128  # documents that are weighed at once
 _LONG = 255  # bytes that a CRC is shifted by at once
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -179,23 +178,18 @@ def score_documents(spilled: DataFrame, gain: np.ndarray, *, seed: int = 42) ->
     The key makes the highest scores a draw without replacement in proportion to exp(weight / 1000). A null id has the key of an empty one.
     """
 
-    @F.arrow_udf(LongType())
-    def weigh(buckets: pa.Array, counts: pa.Array) -> pa.Array:
-        out = [np.zeros(0, np.int64)]
-        for lo in range(0, len(buckets), _ROWS):  # a row has a number for each bucket at most
-            some, times = buckets.slice(lo, _ROWS), counts.slice(lo, _ROWS)
-            run = np.concatenate([[0], np.cumsum(gain[some.flatten().to_numpy()] * times.flatten().to_numpy())])
-            ends = np.cumsum(np.concatenate([[0], some.value_lengths().to_numpy()]))
-            out.append(run[ends[1:]] - run[ends[:-1]])
-        return pa.array(np.concatenate(out), pa.int64())
-
-    @F.arrow_udf(LongType())
-    def gumbel(h: pa.Array) -> pa.Array:
-        return pa.array([math.floor(-1000 * math.log(-math.log((x + 0.5) / 4294967296))) for x in h.to_pylist()], pa.int64())
+    def add_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = [math.floor(-1000 * math.log(-math.log((x + 0.5) / 4294967296))) for x in batch.column("h").to_pylist()]
+            score = pc.add(batch.column("weight"), pa.array(key, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], [*batch.schema.names[:-1], "score"])
 
+    # the lists of a row are weighed where they are read: Arrow batches of 10 000 rows of them would be held there and again in Python
+    by_bucket = F.from_json(F.lit(json.dumps(gain.tolist())), "array<bigint>")
+    weight = F.aggregate(F.zip_with("buckets", "counts", lambda b, c: F.get(by_bucket, b.cast("int")) * c), F.lit(0).cast("long"), lambda a, x: a + x)
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("long")
-    rows = spilled.filter("n is not null").select("n", "doc_id", "n_words", "n_features", weigh("buckets", "counts").alias("weight"), gumbel(h).alias("key"))
-    return rows.select("n", "doc_id", "n_words", "n_features", "weight", (F.col("weight") + F.col("key")).alias("score"))
+    rows = spilled.filter("n is not null").select("n", "doc_id", "n_words", "n_features", weight.alias("weight"), h.alias("h"))
+    return rows.mapInArrow(add_key, "n long, doc_id long, n_words long, n_features long, weight long, score long")
 
 
 def draw(scored: DataFrame, *, percent: int = 5, least_words: int = 20) -> DataFrame:
